@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT, RiskConfig
-from ..functions.columns import assign_stage, clip, discount_factor, effective_pd, lifetime_pd
+from ..functions.columns import assign_stage, clip, discount_factor, effective_pd, lifetime_pd, ratio_round
 from .portfolio import scorecard_lgd
 
 MONEY = T.DecimalType(14, 2)
@@ -98,15 +98,15 @@ def ecl_by_stage(loan_level: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_loans"),
         F.sum(F.col("ead").cast(MONEY)).alias("ead"),
         F.sum("ecl_weighted").alias("ecl"),
-        F.avg(F.col("effective_pd_base").cast(PROB)).alias("avg_pd"),
-        F.avg(F.col("lgd_hat").cast(PROB)).alias("avg_lgd"))
+        F.sum(F.round(F.col("effective_pd_base") * 1000000.0).cast("long")).alias("_pd_micro"),
+        F.sum(F.round(F.col("lgd_hat") * 1000000.0).cast("long")).alias("_lgd_micro"))
     return g.select(
         F.col("stage").cast("long").alias("stage"),
         F.col("n_loans").cast("long"),
         F.col("ead").cast("double"),
         F.col("ecl").cast("double"),
-        F.round(F.col("avg_pd").cast("double"), 6).alias("avg_pd"),
-        F.round(F.col("avg_lgd").cast("double"), 6).alias("avg_lgd"),
+        ratio_round("_pd_micro", F.col("n_loans") * 1000000, 6).alias("avg_pd"),
+        ratio_round("_lgd_micro", F.col("n_loans") * 1000000, 6).alias("avg_lgd"),
         F.round(F.try_divide(F.col("ecl").cast("double"), F.col("ead").cast("double")), 6).alias("coverage_ratio"))
 
 

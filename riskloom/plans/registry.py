@@ -88,3 +88,142 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 __all__ = ["QUERIES", "get_mart", "use_mart", "forget_marts", "ecl_ops"]
+
+
+# --- loan-level features, ECL engine, stress --------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators import metrics, monitoring, stress  # noqa: E402
+from ..operators.portfolio import behaviour_12m  # noqa: E402
+
+
+def _book(spark, d):
+    return get_mart(spark, d).portfolio
+
+
+def _loan_level(spark, d):
+    return ecl_ops.scorecard_loan_level(_book(spark, d))
+
+
+def _stress_base(spark, d):
+    """Scorecard scores live on the same rows as the book: a projection, no joins."""
+    from ..operators.portfolio import scorecard_lgd
+    return _book(spark, d).select("loan_id", "sector", "region", "ead", F.col("true_pd").alias("pd_hat"),
+                                  scorecard_lgd().alias("lgd_hat"))
+
+
+def pd_score_table(spark, d):
+    """PD scorecard scores with the default label and a train/test split."""
+    return _book(spark, d).select("loan_id", F.col("true_pd").alias("score"),
+                                  F.col("default_flag").alias("label"), monitoring.hash_split().alias("split"))
+
+
+def _test_scores(spark, d):
+    return pd_score_table(spark, d).filter(F.col("split") == "test")
+
+
+def _lgd_pred(spark, d):
+    from ..operators.portfolio import scorecard_lgd
+    b = _book(spark, d)
+    return b.filter(F.col("default_flag") == 1).filter(monitoring.hash_split() == "test").select(
+        "loan_id", "sector", F.col("lgd").alias("actual"), scorecard_lgd().alias("predicted"))
+
+
+def _monitor_metrics(spark, d):
+    t = _test_scores(spark, d)
+    return metrics.auc_exact(t).crossJoin(metrics.brier(t)).crossJoin(monitoring.psi_band(pd_score_table(spark, d)))
+
+
+def _ews_target(spark, d):
+    b = _book(spark, d)
+    ev = ((F.col("current_dpd") >= 30) | (F.col("default_flag") == 1)).cast("long")
+    return b.agg(F.count(F.lit(1)).alias("n"), F.sum(ev).alias("events")).select(
+        F.col("n").cast("long"), F.col("events").cast("long"),
+        metrics.ratio_round("events", "n", 6).alias("event_rate"))
+
+
+def _ews_watchlist(spark, d):
+    b = _book(spark, d).select("loan_id", "sector", "region", "ead", "current_dpd", "missed_payments_12m",
+                               "utilization_trend", "credit_score", F.col("true_pd").alias("ews_score"))
+    return metrics.top_k_watchlist(b)
+
+
+def _dq(spark, d):
+    m = get_mart(spark, d)
+    return monitoring.data_quality(m.dim_loan, m.fact_loan_monthly, m.portfolio, m.fact_ecl)
+
+
+def _lgd_scorecard(spark, d):
+    from ..operators.portfolio import scorecard_lgd
+    return _book(spark, d).select("loan_id", "sector", "default_flag", "lgd", scorecard_lgd().alias("lgd_hat"))
+
+
+def _sel(fn, *cols):
+    """Projection given as SQL expression strings (no Column objects at import time)."""
+    return lambda spark, d: fn(spark, d).selectExpr(*cols)
+
+
+_MORE = {
+    "s9_fact_ecl": lambda spark, d: get_mart(spark, d).fact_ecl,
+    "s10_behaviour_12m": lambda spark, d: behaviour_12m(get_mart(spark, d).panel_raw, "dpd_raw"),
+    "s11_ead": _sel(_book, "loan_id", "loan_amount", "loan_age_months", "term_months", "utilization", "ead"),
+    "s12_pd_scorecard": _sel(_book, "loan_id", "sector", "true_pd", "default_flag"),
+    "s13_lgd_scorecard": _lgd_scorecard,
+    "e1_lifetime_pd": _sel(_loan_level, "loan_id", "pd_hat AS pd_12m", "pd_lifetime"),
+    "e2_stage": _sel(_loan_level, "loan_id", "pd_hat AS pd_12m", "current_dpd", "default_flag", "stage"),
+    "e3_discount": _sel(_loan_level, "loan_id", "stage", "discount_factor"),
+    "e4_ecl_loan": _sel(_loan_level, "loan_id", "sector", "region", "ead", "current_dpd", "default_flag", "pd_hat",
+                        "lgd_hat", "stage", "discount_factor", "ecl_base", "ecl_downside", "ecl_severe",
+                        "ecl_weighted", "effective_pd_base", "coverage_ratio"),
+    "e5_ecl_by_stage": lambda spark, d: ecl_ops.ecl_by_stage(_loan_level(spark, d)),
+    "e6_ecl_by_scenario": lambda spark, d: ecl_ops.ecl_by_scenario(_loan_level(spark, d),
+                                                                   get_mart(spark, d).dim_scenario),
+    "e7_ecl_portfolio": lambda spark, d: ecl_ops.ecl_portfolio(_loan_level(spark, d)),
+    "t1_scenario_loss": lambda spark, d: stress.scenario_loss(_stress_base(spark, d), get_mart(spark, d).dim_scenario),
+    "t2_concentration": lambda spark, d: stress.concentration(_stress_base(spark, d)),
+    "t3_concentration_metrics": lambda spark, d: stress.concentration_metrics(stress.concentration(_stress_base(spark, d))),
+    "t4_sensitivity": lambda spark, d: stress.sensitivity(_stress_base(spark, d)),
+    "m6_auc_exact": lambda spark, d: metrics.auc_exact(_test_scores(spark, d)),
+    "m7_average_precision": lambda spark, d: metrics.average_precision(_test_scores(spark, d)),
+    "m8_roc_points": lambda spark, d: metrics.roc_points(_test_scores(spark, d)),
+    "m8_pr_points": lambda spark, d: metrics.pr_points(_test_scores(spark, d)),
+    "m9_score_bands": lambda spark, d: metrics.score_bands(_test_scores(spark, d)),
+    "m10_brier": lambda spark, d: metrics.brier(_test_scores(spark, d)),
+    "m11_confusion": lambda spark, d: metrics.confusion(_test_scores(spark, d)),
+    "m12_calibration_bins": lambda spark, d: metrics.calibration_bins(_test_scores(spark, d)),
+    "m14_regression_metrics": lambda spark, d: metrics.regression_metrics(_lgd_pred(spark, d)),
+    "m15_lgd_segment_errors": lambda spark, d: metrics.segment_errors(_lgd_pred(spark, d)),
+    "m18_ews_target": _ews_target,
+    "m20_top_decile_capture": lambda spark, d: metrics.top_fraction_capture(_test_scores(spark, d)),
+    "m21_ews_watchlist": _ews_watchlist,
+    "v1_psi_band": lambda spark, d: monitoring.psi_band(pd_score_table(spark, d)),
+    "v2_psi_feature": lambda spark, d: monitoring.psi_features(
+        _book(spark, d).withColumn("split", monitoring.hash_split())),
+    "v3_band_calibration": lambda spark, d: monitoring.band_calibration(metrics.score_bands(_test_scores(spark, d))),
+    "v4_monitor_triggers": lambda spark, d: monitoring.monitor_triggers(_monitor_metrics(spark, d)),
+    "v5_hosmer_lemeshow": lambda spark, d: monitoring.hosmer_lemeshow(_test_scores(spark, d)),
+    "v5b_binomial_light": lambda spark, d: monitoring.binomial_light(_test_scores(spark, d)),
+    "v6_data_quality": _dq,
+}
+
+
+def normalized(df: DataFrame) -> DataFrame:
+    """End every query with BIGINT / DOUBLE / VARCHAR / DATE columns."""
+    from pyspark.sql import types as T
+    out = []
+    for f in df.schema.fields:
+        t = f.dataType
+        if isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
+            out.append(F.col(f.name).cast("long").alias(f.name))
+        elif isinstance(t, (T.DecimalType, T.FloatType)):
+            out.append(F.col(f.name).cast("double").alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return df.select(*out)
+
+
+def _wrap(fn):
+    return lambda spark, d: normalized(fn(spark, d))
+
+
+QUERIES.update({k: _wrap(v) for k, v in _MORE.items()})
