@@ -227,3 +227,44 @@ def _wrap(fn):
 
 
 QUERIES.update({k: _wrap(v) for k, v in _MORE.items()})
+
+
+# --- model fits (rows-only checks; fitted once per session and table folder) ---------------
+from ..operators import models as _models  # noqa: E402
+
+_FITS: dict[tuple, object] = {}
+
+
+def _fit(kind: str, spark, d):
+    k = (kind,) + _key(spark, d)
+    if k not in _FITS:
+        book = _book(spark, d)
+        if kind == "pd":
+            _FITS[k] = _models.train_pd(book, _models.QUICK)
+        elif kind == "lgd":
+            _FITS[k] = _models.train_lgd(book, _models.QUICK)
+        elif kind == "ews":
+            _FITS[k] = _models.train_ews(book, _models.QUICK)
+        elif kind == "pipeline":
+            from .pipeline import run_risk_pipeline
+            _FITS[k] = run_risk_pipeline(spark, d, None, _models.QUICK, mart=get_mart(spark, d))
+    return _FITS[k]
+
+
+def _split_counts(spark, d):
+    b = _book(spark, d).withColumn("split", monitoring.hash_split())
+    return b.groupBy("split", F.col("default_flag").alias("label")).agg(F.count(F.lit(1)).alias("n_loans")) \
+        .orderBy("split", "label")
+
+
+QUERIES.update({k: _wrap(v) for k, v in {
+    "m1_split": _split_counts,
+    "m3_m5_pd_models": lambda spark, d: _fit("pd", spark, d).metrics,
+    "m17_pd_score_book": lambda spark, d: _fit("pd", spark, d).scored,
+    "m13_lgd_gbt": lambda spark, d: _fit("lgd", spark, d).metrics,
+    "m15_lgd_model_segment_errors": lambda spark, d: _fit("lgd", spark, d).segment_errors,
+    "m16_permutation_importance": lambda spark, d: _fit("lgd", spark, d).importance,
+    "m19_ews_gbt": lambda spark, d: _fit("ews", spark, d).metrics,
+    "m21_ews_model_watchlist": lambda spark, d: _fit("ews", spark, d).watchlist,
+    "run_risk_pipeline": lambda spark, d: _fit("pipeline", spark, d)["ecl_portfolio"],
+}.items()})
