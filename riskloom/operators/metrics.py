@@ -74,12 +74,8 @@ def confusion(scores: DataFrame, threshold: float = DEFAULT.policy_threshold,
 
 
 def calibration_bins(scores: DataFrame, n_bins: int = 10, score: str = "score", label: str = "label") -> DataFrame:
-    """Quantile calibration: bin = number of inner quantile edges below the score.
-
-    Edges are exact percentiles (linear interpolation). The exact percentile
-    keeps a value -> count map, so use it on scores with bounded distinct
-    values (PDs rounded to 6 places); pass ``approx=True`` scores otherwise.
-    """
+    """Quantile calibration: bin = number of inner quantile edges below the score
+    (see ``quantile_bin``); mean predicted and observed rate per non-empty bin."""
     g = quantile_bin(scores, n_bins, score).groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg(score).alias("_p"),
                                   F.sum(F.col(label).cast("long")).alias("_y"))
     return g.select(F.col("bin").cast("long"), F.col("n").cast("long"),
@@ -88,9 +84,15 @@ def calibration_bins(scores: DataFrame, n_bins: int = 10, score: str = "score",
 
 
 def quantile_bin(scores: DataFrame, n_bins: int, score: str = "score") -> DataFrame:
-    """Add ``bin``: the number of inner quantile edges (exact percentiles) below the score."""
+    """Add ``bin``: the number of inner quantile edges below the score.
+
+    Edges are exact percentiles (linear interpolation) of the score rounded
+    to 6 places: the percentile aggregate keeps a value -> count map, and
+    rounding bounds it at 10^6 + 1 entries whatever the row count (a no-op
+    for scorecard PDs, which are already 6-place values).
+    """
     probs = [i / n_bins for i in range(1, n_bins)]
-    edges = scores.agg(F.percentile(F.col(score), probs).alias("_edges"))  # one row
+    edges = scores.agg(F.percentile(F.round(F.col(score), 6), probs).alias("_edges"))  # one row
     j = scores.crossJoin(F.broadcast(edges))
     return j.withColumn("bin", F.size(F.filter("_edges", lambda e: e < F.col(score)))).drop("_edges")
 

@@ -54,7 +54,9 @@ def psi_features(book: DataFrame, features=("credit_score", "ltv", "dti"), n_bin
         F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features])).alias("x")) \
         .select("split", "x.feature", "x.value")
     probs = [i / n_bins for i in range(1, n_bins)]
-    edges = long.filter(F.col("split") == "train").groupBy("feature").agg(F.percentile("value", probs).alias("_edges"))
+    # value -> count map of the exact percentile stays bounded: values rounded to 6 places
+    edges = long.filter(F.col("split") == "train").groupBy("feature").agg(
+        F.percentile(F.round("value", 6), probs).alias("_edges"))
     binned = long.join(F.broadcast(edges), "feature") \
         .withColumn("bin", F.size(F.filter("_edges", lambda e: e < F.col("value"))))
     g = binned.groupBy("feature", "split", "bin").agg(F.count(F.lit(1)).alias("_n"))
