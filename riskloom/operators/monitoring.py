@@ -161,7 +161,12 @@ def data_quality(loans: DataFrame, panel: DataFrame, book: DataFrame, ecl: DataF
         F.when(~(F.avg("default_flag").between(0.02, 0.40)), F.lit(1)).otherwise(F.lit(0)).alias("default_rate_implausible"))
     unscored = book.select("loan_id").join(ecl.select("loan_id"), "loan_id", "left_anti") \
         .agg(F.count(F.lit(1)).alias("unscored_loans"))
-    one = dl.crossJoin(pk).crossJoin(orphans).crossJoin(pf).crossJoin(unscored)
+    from ..functions.columns import vintage_label
+    vint = panel.select("loan_id", "months_on_book").join(
+        loans.select("loan_id", vintage_label("origination_date").alias("_v")), "loan_id") \
+        .groupBy("_v").agg(F.count_if(F.col("months_on_book") == 0).alias("_age0"))
+    no_age0 = vint.agg(F.count_if(F.col("_age0") == 0).alias("vintages_without_age0"))
+    one = dl.crossJoin(pk).crossJoin(orphans).crossJoin(pf).crossJoin(unscored).crossJoin(no_age0)
     rules = [c for c in one.columns]
     stack = "stack({}, {}) as (rule, failures)".format(
         len(rules), ", ".join(f"'{r}', CAST(`{r}` AS BIGINT)" for r in rules))

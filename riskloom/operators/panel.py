@@ -67,10 +67,18 @@ def cumulative_bad(panel: DataFrame, loans: DataFrame) -> DataFrame:
 
 # --- 2. roll rates ---------------------------------------------------------------
 
-def roll_matrix(panel: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """q2a: bucket-to-bucket transition counts and rates (prior observation)."""
+def _gap(calendar: bool, months: int = 1):
+    return months if calendar else None
+
+
+def roll_matrix(panel: DataFrame, cfg: RiskConfig = DEFAULT, calendar: bool = False) -> DataFrame:
+    """q2a: bucket-to-bucket transition counts and rates.
+
+    "Last month" is the prior observation (as the reference); with
+    ``calendar=True`` only observations exactly one month apart count.
+    """
     t = with_prior(panel.select("loan_id", "snapshot_month", "dpd_bucket"), "loan_id", "snapshot_month",
-                   {"dpd_bucket": "from_bucket"}, cfg)
+                   {"dpd_bucket": "from_bucket"}, cfg, _gap(calendar))
     g = t.filter(F.col("from_bucket").isNotNull()).groupBy("from_bucket", F.col("dpd_bucket").alias("to_bucket")) \
         .agg(F.count(F.lit(1)).alias("n_loans"))
     row_total = F.sum("n_loans").over(Window.partitionBy("from_bucket"))
@@ -80,10 +88,10 @@ def roll_matrix(panel: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     ).orderBy(bucket_severity("from_bucket"), bucket_severity("to_bucket"))
 
 
-def forward_cure(panel: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+def forward_cure(panel: DataFrame, cfg: RiskConfig = DEFAULT, calendar: bool = False) -> DataFrame:
     """q2b: monthly forward-roll and cure rates of last month's delinquent loans."""
     sev = panel.select("loan_id", "snapshot_month", bucket_severity("dpd_bucket").alias("to_sev"))
-    t = with_prior(sev, "loan_id", "snapshot_month", {"to_sev": "from_sev"}, cfg)
+    t = with_prior(sev, "loan_id", "snapshot_month", {"to_sev": "from_sev"}, cfg, _gap(calendar))
     t = t.filter(F.col("from_sev").isNotNull() & F.col("from_sev").between(1, 4))
     g = t.groupBy("snapshot_month").agg(
         F.count(F.lit(1)).alias("delinquent_loans"),
@@ -206,19 +214,25 @@ def utilization_trend(panel: DataFrame) -> DataFrame:
     ).orderBy("snapshot_month")
 
 
-def utilization_jump(panel: DataFrame, loans: DataFrame) -> DataFrame:
+def utilization_jump(panel: DataFrame, loans: DataFrame, calendar: bool = False) -> DataFrame:
     """q5b: loans whose utilisation rose >= 10 points over the last 3 observations.
 
     Top-4 observations per loan (partial group limit before the shuffle),
     then one conditional aggregate instead of a self join of rank 1 and 4.
+    With ``calendar=True`` the 4th-latest observation must be exactly three
+    months before the latest.
     """
     u = panel.filter(F.col("utilization").isNotNull()).select("loan_id", "snapshot_month", "utilization")
     last4 = top_k_per_key(u, "loan_id", [F.desc("snapshot_month")], 4, "_rn")
     g = last4.groupBy("loan_id").agg(
         F.max(F.when(F.col("_rn") == 1, F.col("utilization"))).alias("_now"),
-        F.max(F.when(F.col("_rn") == 4, F.col("utilization"))).alias("_ago"))
-    g = g.filter(F.col("_ago").isNotNull()).withColumn("_delta", F.col("_now") - F.col("_ago")) \
-        .filter(F.col("_delta") >= 10)
+        F.max(F.when(F.col("_rn") == 4, F.col("utilization"))).alias("_ago"),
+        F.max(F.when(F.col("_rn") == 1, F.col("snapshot_month"))).alias("_m_now"),
+        F.max(F.when(F.col("_rn") == 4, F.col("snapshot_month"))).alias("_m_ago"))
+    g = g.filter(F.col("_ago").isNotNull())
+    if calendar:
+        g = g.filter(F.add_months(F.col("_m_ago"), 3) == F.col("_m_now"))
+    g = g.withColumn("_delta", F.col("_now") - F.col("_ago")).filter(F.col("_delta") >= 10)
     j = g.join(loans.select("loan_id", "sector", "region"), "loan_id")
     flag = F.when(F.col("_delta") >= 20, F.lit("RISING_FAST")).when(F.col("_delta") >= 10, F.lit("RISING")) \
         .otherwise(F.lit("STABLE"))
@@ -231,14 +245,14 @@ def utilization_jump(panel: DataFrame, loans: DataFrame) -> DataFrame:
 
 # --- 7. stage migration ------------------------------------------------------------
 
-def _staged(panel: DataFrame, cfg: RiskConfig) -> DataFrame:
+def _staged(panel: DataFrame, cfg: RiskConfig, calendar: bool = False) -> DataFrame:
     return with_prior(panel.select("loan_id", "snapshot_month", "ifrs9_stage", "outstanding_balance"),
-                      "loan_id", "snapshot_month", {"ifrs9_stage": "prev_stage"}, cfg)
+                      "loan_id", "snapshot_month", {"ifrs9_stage": "prev_stage"}, cfg, _gap(calendar))
 
 
-def stage_matrix(panel: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+def stage_matrix(panel: DataFrame, cfg: RiskConfig = DEFAULT, calendar: bool = False) -> DataFrame:
     """q7a: stage transition counts, rates and balance moved."""
-    s = _staged(panel, cfg).filter(F.col("prev_stage").isNotNull())
+    s = _staged(panel, cfg, calendar).filter(F.col("prev_stage").isNotNull())
     g = s.groupBy(F.col("prev_stage").alias("from_stage"), F.col("ifrs9_stage").alias("to_stage")).agg(
         F.count(F.lit(1)).alias("n_loans"), F.sum("outstanding_balance").alias("exposure_moved"))
     row_total = F.sum("n_loans").over(Window.partitionBy("from_stage"))
@@ -249,13 +263,13 @@ def stage_matrix(panel: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     ).orderBy("from_stage", "to_stage")
 
 
-def stage_drift(panel: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+def stage_drift(panel: DataFrame, cfg: RiskConfig = DEFAULT, calendar: bool = False) -> DataFrame:
     """q7b: moves into and out of each stage; always stages 1, 2, 3.
 
     Each move is unpivoted into (to-stage, in) and (from-stage, out) and
     counted in one aggregate, then joined to the 3-row stage list.
     """
-    moves = _staged(panel, cfg).filter(F.col("prev_stage").isNotNull() & (F.col("prev_stage") != F.col("ifrs9_stage")))
+    moves = _staged(panel, cfg, calendar).filter(F.col("prev_stage").isNotNull() & (F.col("prev_stage") != F.col("ifrs9_stage")))
     legs = moves.select(F.explode(F.array(
         F.struct(F.col("ifrs9_stage").alias("stage"), F.lit(1).alias("i"), F.lit(0).alias("o")),
         F.struct(F.col("prev_stage").alias("stage"), F.lit(0).alias("i"), F.lit(1).alias("o")))).alias("leg"))

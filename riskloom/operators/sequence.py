@@ -102,24 +102,34 @@ def row_index(df: DataFrame, key: str, order_cols: list, out: str,
 
 
 def with_prior(df: DataFrame, key: str, order_col: str, cols: dict[str, str],
-               cfg: RiskConfig = DEFAULT) -> DataFrame:
+               cfg: RiskConfig = DEFAULT, gap_months: int | None = None) -> DataFrame:
     """Add the previous observation's values (LAG 1 within key by order_col).
 
     ``cols`` maps source column -> output column. Ordinary keys use a lag
     window; hot keys are indexed in range partitions and joined to the row
-    one position earlier.
+    one position earlier. With ``gap_months`` the prior values are NULL
+    unless the previous observation is exactly that many months earlier
+    (calendar lag instead of prior observation).
     """
+    want = dict(cols)
+    if gap_months is not None:
+        want[order_col] = "_prior_order"
     normal, hot = _split(df, key, cfg)
     w = Window.partitionBy(key).orderBy(order_col)
-    lagged = normal.select("*", *[F.lag(src).over(w).alias(dst) for src, dst in cols.items()])
-    if hot is None:
-        return lagged
-    idx = range_index(hot, key, [order_col], "_seq")
-    prev = idx.select(F.col(key).alias("_pk"), (F.col("_seq") + 1).alias("_pseq"),
-                      *[F.col(src).alias(dst) for src, dst in cols.items()])
-    joined = idx.join(prev, (idx[key] == prev["_pk"]) & (idx["_seq"] == prev["_pseq"]), "left") \
-        .drop("_pk", "_pseq", "_seq")
-    return lagged.unionByName(joined)
+    out = normal.select("*", *[F.lag(src).over(w).alias(dst) for src, dst in want.items()])
+    if hot is not None:
+        idx = range_index(hot, key, [order_col], "_seq")
+        prev = idx.select(F.col(key).alias("_pk"), (F.col("_seq") + 1).alias("_pseq"),
+                          *[F.col(src).alias(dst) for src, dst in want.items()])
+        joined = idx.join(prev, (idx[key] == prev["_pk"]) & (idx["_seq"] == prev["_pseq"]), "left") \
+            .drop("_pk", "_pseq", "_seq")
+        out = out.unionByName(joined)
+    if gap_months is not None:
+        on_time = F.add_months(F.col("_prior_order"), gap_months) == F.col(order_col)
+        for dst in cols.values():
+            out = out.withColumn(dst, F.when(on_time, F.col(dst)))
+        out = out.drop("_prior_order")
+    return out
 
 
 def top_k_per_key(df: DataFrame, key: str, order: list[Column], k: int, out: str = "rn") -> DataFrame:

@@ -75,3 +75,18 @@ def test_stage_sector_subtotals(seed):
     rows = exposure.stage_sector(seed.fact_ecl).collect()
     assert {(r["ifrs9_stage"], r["sector"]) for r in rows} == {
         (1, "ALL SECTORS"), (1, "Residential"), (3, "ALL SECTORS"), (3, "Office CRE")}
+
+
+def test_calendar_lag_drops_gaps(spark):
+    import datetime as dt
+    from riskloom.schemas import FACT_LOAN_MONTHLY
+    from decimal import Decimal as D
+    rows = [(9, dt.date(2023, m, 1), i, D("1"), D("1"), 0, "Current", D("1"), 1, 0, D("0"), D("0"))
+            for i, m in enumerate([1, 2, 5])]
+    p = spark.createDataFrame(rows, FACT_LOAN_MONTHLY)
+    assert panel.roll_matrix(p).first()["n_loans"] == 2           # prior observation: 2 moves
+    assert panel.roll_matrix(p, calendar=True).first()["n_loans"] == 1   # Feb -> May is not a month
+
+
+def test_util_jump_calendar(seed):
+    assert panel.utilization_jump(seed.fact_loan_monthly, seed.dim_loan, calendar=True).count() == 1
