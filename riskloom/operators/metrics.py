@@ -39,6 +39,22 @@ def average_precision(scores: DataFrame, score: str = "score", label: str = "lab
         F.round("_ap", 6).alias("pr_auc"))
 
 
+def auc_and_ap(scores: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """ROC-AUC and average precision from ONE descending prefix-sum pass.
+
+    Negatives strictly below a score = N - (descending inclusive count) ;
+    one row ``roc_auc``, ``pr_auc``.
+    """
+    c = _desc_curve(scores, score, label)
+    below = F.col("_N") - F.col("neg_cum")
+    u = F.col("pos").cast("double") * (below.cast("double") + F.col("neg").cast("double") * 0.5)
+    prec = F.col("pos_cum").cast("double") / (F.col("pos_cum") + F.col("neg_cum")).cast("double")
+    ap = F.col("pos").cast("double") / F.col("_P").cast("double") * prec
+    return c.agg(F.sum(u).alias("_u"), F.sum(ap).alias("_ap"), F.first("_P").alias("_P"), F.first("_N").alias("_N")) \
+        .select(F.round(F.col("_u") / (F.col("_P").cast("double") * F.col("_N").cast("double")), 6).alias("roc_auc"),
+                F.round("_ap", 6).alias("pr_auc"))
+
+
 def roc_points(scores: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """ROC curve: one row per distinct threshold (fpr, tpr at score >= threshold)."""
     c = _desc_curve(scores, score, label)

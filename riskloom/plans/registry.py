@@ -235,6 +235,10 @@ from ..operators import models as _models  # noqa: E402
 _FITS: dict[tuple, object] = {}
 
 
+def forget_fits() -> None:
+    _FITS.clear()
+
+
 def _fit(kind: str, spark, d):
     k = (kind,) + _key(spark, d)
     if k not in _FITS:

@@ -12,7 +12,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import checkpoint_dir
-from .tpch_mart import Mart, fact_loan_monthly
+from ..config import DEFAULT, RiskConfig
+from .tpch_mart import Mart, dim_loan, fact_loan_monthly, panel_raw, scenario_frame
 
 
 def _save(spark: SparkSession, df: DataFrame, base: str, tag: str, name: str, buckets: int,
@@ -38,3 +39,19 @@ def materialize(mart: Mart, buckets: int | None = None) -> Mart:
     ecl = _save(spark, staged.fact_ecl, base, tag, "fact_ecl", n, ["loan_id"])
     staged._fact_ecl = ecl
     return staged
+
+
+def materialize_tpch(spark: SparkSession, sf_dir: str, cfg: RiskConfig = DEFAULT,
+                     buckets: int | None = None) -> Mart:
+    """Derive and write the mart from the driver tables, each table built from the
+    ones already written (the panel joins the written, bucketed ``dim_loan``)."""
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tag = uuid.uuid4().hex[:10]
+    base = f"{checkpoint_dir(spark).rstrip('/')}/riskloom-mart-{tag}"
+    dim = _save(spark, dim_loan(spark, sf_dir), base, tag, "dim_loan", n, ["loan_id"])
+    panel = _save(spark, panel_raw(spark, sf_dir, dim, cfg), base, tag, "panel", n, ["loan_id", "snapshot_month"])
+    staged = Mart(dim_loan=dim, fact_loan_monthly=fact_loan_monthly(panel), panel_raw=panel,
+                  dim_scenario=scenario_frame(spark, cfg), cfg=cfg)
+    staged._portfolio = _save(spark, staged.portfolio, base, tag, "portfolio", n, ["loan_id"])
+    staged._fact_ecl = _save(spark, staged.fact_ecl, base, tag, "fact_ecl", n, ["loan_id"])
+    return staged

@@ -79,3 +79,12 @@ def test_scenario_weights_sum_to_one():
 
 def test_clip_keeps_null(spark):
     assert _vals(spark, [(None,), (2.0,), (-1.0,)], "x double", C.clip(F.col("x"), 0.0, 1.0)) == [None, 1.0, 0.0]
+
+
+def test_auc_and_ap_match_separate_passes(spark):
+    from riskloom.operators import metrics as M
+    rows = [(i, (i * 37 % 101) / 100.0, int((i * 53) % 7 < 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "loan_id long, score double, label int")
+    both = M.auc_and_ap(df).first()
+    assert both["roc_auc"] == M.auc_exact(df).first()["roc_auc"]
+    assert both["pr_auc"] == M.average_precision(df).first()["pr_auc"]
