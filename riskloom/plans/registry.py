@@ -87,8 +87,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q9d_top_ecl": _e(exposure.top_ecl),
 }
 
-__all__ = ["QUERIES", "get_mart", "use_mart", "forget_marts", "ecl_ops"]
-
 
 # --- loan-level features, ECL engine, stress --------------------------------------
 from pyspark.sql import functions as F  # noqa: E402
