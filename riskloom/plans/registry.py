@@ -247,9 +247,9 @@ def _fit(kind: str, spark, d):
             _FITS[k] = _models.train_lgd(book, _models.QUICK)
         elif kind == "ews":
             _FITS[k] = _models.train_ews(book, _models.QUICK)
-        elif kind == "pipeline":
-            from .pipeline import run_risk_pipeline
-            _FITS[k] = run_risk_pipeline(spark, d, None, _models.QUICK, mart=get_mart(spark, d))
+        elif kind == "job":
+            from .job import run_risk_job
+            _FITS[k] = run_risk_job(spark, d, None, _models.QUICK, mart=get_mart(spark, d))
     return _FITS[k]
 
 
@@ -268,5 +268,5 @@ QUERIES.update({k: _wrap(v) for k, v in {
     "m16_permutation_importance": lambda spark, d: _fit("lgd", spark, d).importance,
     "m19_ews_gbt": lambda spark, d: _fit("ews", spark, d).metrics,
     "m21_ews_model_watchlist": lambda spark, d: _fit("ews", spark, d).watchlist,
-    "run_risk_pipeline": lambda spark, d: _fit("pipeline", spark, d)["ecl_portfolio"],
+    "risk_batch_job": lambda spark, d: _fit("job", spark, d)["ecl_portfolio"],
 }.items()})

@@ -5,7 +5,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from riskloom.operators import models as Mo
-from riskloom.plans.pipeline import run_risk_pipeline, summary_tables
+from riskloom.plans.job import run_risk_job, summary_tables
 from riskloom.sources.io import read_mart_csv, read_mart_parquet, save_metrics, save_table
 
 
@@ -32,9 +32,9 @@ def test_metrics_sink_writes_one_json_file(spark):
     assert spark.read.json(path).first()["roc_auc"] == 0.9
 
 
-def test_pipeline_writes_every_table(spark, mart):
+def test_job_writes_every_table(spark, mart):
     out = tempfile.mkdtemp(prefix="riskloom-job-")
-    res = run_risk_pipeline(spark, "/root/testdata/sf0.001", out, Mo.FitParams(gbt_iter=3, lr_iter=10, n_repeats=1),
+    res = run_risk_job(spark, "/root/testdata/sf0.001", out, Mo.FitParams(gbt_iter=3, lr_iter=10, n_repeats=1),
                             mart=mart)
     written = set(os.listdir(out))
     assert set(res) <= written

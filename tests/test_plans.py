@@ -8,7 +8,7 @@ import __spark_entry__ as se
 from tests.conftest import SF001
 
 MODEL_KEYS = {"m3_m5_pd_models", "m17_pd_score_book", "m13_lgd_gbt", "m15_lgd_model_segment_errors",
-              "m16_permutation_importance", "m19_ews_gbt", "m21_ews_model_watchlist", "run_risk_pipeline"}
+              "m16_permutation_importance", "m19_ews_gbt", "m21_ews_model_watchlist", "risk_batch_job"}
 
 
 def _plan(df) -> str:
