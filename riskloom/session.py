@@ -27,6 +27,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "riskl
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="riskloom-warehouse-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
