@@ -20,6 +20,24 @@ def hash_split(key: str = "loan_id", test_share: float = DEFAULT.test_share) ->
     return F.when(u * 100 < F.lit(cut) * 2147483648, F.lit("test")).otherwise(F.lit("train"))
 
 
+def exact_stratified_split(df: DataFrame, label: str, key: str = "loan_id",
+                           test_share: float = DEFAULT.test_share) -> DataFrame:
+    """Add ``split`` with exactly round(test_share * n_c) test rows in each stratum c.
+
+    Rows are ranked inside their stratum by a hash of the key (same rows on
+    every run); the rank comes from range partitions on (stratum, hash), so
+    a large stratum is spread over many tasks.
+    """
+    from .sequence import range_index
+    h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(42)))
+    ranked = range_index(h, label, ["_h", key], "_r")
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))  # one row per stratum
+    cut = F.floor(F.col("_n") * F.lit(float(test_share)) + F.lit(0.5))
+    out = ranked.join(F.broadcast(sizes), label)
+    return out.withColumn("split", F.when(F.col("_r") < cut, F.lit("test")).otherwise(F.lit("train"))) \
+        .drop("_h", "_r", "_n")
+
+
 def psi(expected: DataFrame, actual: DataFrame, bucket: str, epsilon: float | None = None) -> DataFrame:
     """Population stability index between two samples bucketed by ``bucket``.
 

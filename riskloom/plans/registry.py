@@ -19,7 +19,11 @@ _MARTS: dict[tuple, Mart] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple:
-    return (id(spark.sparkContext), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # remote session
+        app = id(spark)
+    return (app, sf_dir.rstrip("/"))
 
 
 def get_mart(spark: SparkSession, sf_dir: str) -> Mart:

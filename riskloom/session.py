@@ -40,11 +40,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Sets a
     private temporary one only for a local-mode session where it is unset.
     """
-    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns the checkpoint folder
+        if conf_dir:
+            return conf_dir
+        raise RuntimeError("spark.checkpoint.dir must be set for a remote session")
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir

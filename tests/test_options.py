@@ -41,3 +41,15 @@ def test_data_quality_all_pass_on_driver_tables(mart):
         mart.dim_loan, mart.fact_loan_monthly, mart.portfolio, mart.fact_ecl).collect()}
     assert fails.pop("panel_duplicate_key") == 0
     assert all(v == 0 for k, v in fails.items() if k != "dim_loan_duplicate_id"), fails
+
+
+def test_exact_stratified_split(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(0, 1001).select(F.col("id").alias("loan_id"), (F.col("id") % 7 == 0).cast("int").alias("y"))
+    s = monitoring.exact_stratified_split(df, "y")
+    counts = {(r["y"], r["split"]): r["count"] for r in s.groupBy("y", "split").count().collect()}
+    n1 = sum(v for (y, _), v in counts.items() if y == 1)
+    n0 = sum(v for (y, _), v in counts.items() if y == 0)
+    assert counts[(1, "test")] == int(n1 * 0.3 + 0.5) and counts[(0, "test")] == int(n0 * 0.3 + 0.5)
+    again = monitoring.exact_stratified_split(df, "y").filter("split = 'test'").select("loan_id")
+    assert sorted(r[0] for r in again.collect()) == sorted(r[0] for r in s.filter("split = 'test'").select("loan_id").collect())
