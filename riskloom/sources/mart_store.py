@@ -2,6 +2,7 @@
 
 All mart tables share the same bucket count on ``loan_id``, so the panel,
 loan, portfolio and ECL tables join and window per loan without a shuffle.
+The panel is bucketed only when no loan is hot (see ``_bucket_panel``).
 Files live under the session's shared checkpoint folder (external tables),
 so the lineage back to the raw tables is cut and survives executor loss.
 """
@@ -11,19 +12,34 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import checkpoint_dir
 from ..config import DEFAULT, RiskConfig
+from ..session import checkpoint_dir
 from .tpch_mart import Mart, dim_loan, fact_loan_monthly, panel_raw, scenario_frame
 
 
 def _save(spark: SparkSession, df: DataFrame, base: str, tag: str, name: str, buckets: int,
-          sort_cols: list[str]) -> DataFrame:
+          sort_cols: list[str], bucketed: bool = True) -> DataFrame:
+    if not bucketed:
+        path = f"{base}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
     table = f"riskloom_{name}_{tag}"
     (df.write.mode("overwrite").format("parquet").bucketBy(buckets, "loan_id").sortBy(*sort_cols)
      .option("path", f"{base}/{name}").saveAsTable(table))
     return spark.table(table)
 
 
+def _bucket_panel(panel: DataFrame, cfg: RiskConfig) -> bool:
+    """Bucket the panel by loan only when no loan is hot.
+
+    A bucketed scan reads each bucket in one task and AQE cannot split it;
+    with a hot loan the panel is written plain, so per-loan plans shuffle
+    and the skew handling (AQE skew join, hot-key split) can divide it.
+    """
+    from ..operators.sequence import hot_keys
+    return hot_keys(panel, "loan_id", cfg) is None
+
+
 def materialize(mart: Mart, buckets: int | None = None) -> Mart:
     """Write dim_loan, the panel, the portfolio and fact_ecl once; return a Mart over them."""
     spark = mart.dim_loan.sparkSession
@@ -31,7 +47,8 @@ def materialize(mart: Mart, buckets: int | None = None) -> Mart:
     tag = uuid.uuid4().hex[:10]
     base = f"{checkpoint_dir(spark).rstrip('/')}/riskloom-mart-{tag}"
     dim = _save(spark, mart.dim_loan, base, tag, "dim_loan", n, ["loan_id"])
-    panel = _save(spark, mart.panel_raw, base, tag, "panel", n, ["loan_id", "snapshot_month"])
+    panel = _save(spark, mart.panel_raw, base, tag, "panel", n, ["loan_id", "snapshot_month"],
+                  bucketed=_bucket_panel(mart.panel_raw, mart.cfg))
     staged = Mart(dim_loan=dim, fact_loan_monthly=fact_loan_monthly(panel), panel_raw=panel,
                   dim_scenario=mart.dim_scenario, cfg=mart.cfg)
     book = _save(spark, staged.portfolio, base, tag, "portfolio", n, ["loan_id"])
@@ -49,7 +66,8 @@ def materialize_tpch(spark: SparkSession, sf_dir: str, cfg: RiskConfig = DEFAULT
     tag = uuid.uuid4().hex[:10]
     base = f"{checkpoint_dir(spark).rstrip('/')}/riskloom-mart-{tag}"
     dim = _save(spark, dim_loan(spark, sf_dir), base, tag, "dim_loan", n, ["loan_id"])
-    panel = _save(spark, panel_raw(spark, sf_dir, dim, cfg), base, tag, "panel", n, ["loan_id", "snapshot_month"])
+    raw = panel_raw(spark, sf_dir, dim, cfg)
+    panel = _save(spark, raw, base, tag, "panel", n, ["loan_id", "snapshot_month"], bucketed=_bucket_panel(raw, cfg))
     staged = Mart(dim_loan=dim, fact_loan_monthly=fact_loan_monthly(panel), panel_raw=panel,
                   dim_scenario=scenario_frame(spark, cfg), cfg=cfg)
     staged._portfolio = _save(spark, staged.portfolio, base, tag, "portfolio", n, ["loan_id"])
