@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, RiskConfig
 from ..functions.columns import hhi, ratio_round
+from .scalars import scalar_row
 
 
 def _d(c) -> F.Column:
@@ -48,10 +49,9 @@ def hhi_by_dimension(ecl: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
 
 
 def _top_share(ecl: DataFrame, value: str, k: int, share_name: str, cum_name: str) -> DataFrame:
-    total = ecl.agg(F.sum(value).alias("_total"))
+    total = scalar_row(ecl.agg(F.sum(value).alias("t")))["t"]
     top = ecl.orderBy(F.desc(value), F.asc("loan_id")).limit(k)
-    ranked = top.crossJoin(F.broadcast(total)) \
-        .withColumn("_share", _d(value) / F.when(F.col("_total") != 0, _d("_total")))
+    ranked = top.withColumn("_share", _d(value) / F.when(total != 0, total.cast("double")))
     order = Window.orderBy(F.desc(value), F.asc("loan_id"))  # over k rows
     return ranked.withColumn("rank", F.row_number().over(order).cast("long")) \
         .withColumn(share_name, F.round("_share", 4)) \
@@ -116,11 +116,9 @@ def reconcile(ecl: DataFrame, scenarios: DataFrame, cfg: RiskConfig = DEFAULT) -
     names = ("base", "downside", "severe")
     t = ecl.agg(F.sum("ecl_base").alias("base"), F.sum("ecl_downside").alias("downside"),
                 F.sum("ecl_severe").alias("severe"), F.sum("ecl_weighted").alias("stored"))
-    w = scenarios.groupBy().pivot("scenario", list(names)).agg(F.max("weight"))
-    w = w.select(*[F.col(n).alias(f"w_{n}") for n in names])
-    j = t.crossJoin(F.broadcast(w))
-    recomputed = F.col("w_base") * F.col("base") + F.col("w_downside") * F.col("downside") \
-        + F.col("w_severe") * F.col("severe")
+    w = scalar_row(scenarios.groupBy().pivot("scenario", list(names)).agg(F.max("weight")))
+    j = t
+    recomputed = w["base"] * F.col("base") + w["downside"] * F.col("downside") + w["severe"] * F.col("severe")
     return j.select(
         F.round("base", 2).cast("double").alias("ecl_base"),
         F.round("downside", 2).cast("double").alias("ecl_downside"),

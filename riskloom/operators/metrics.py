@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, RiskConfig
 from ..functions.columns import ratio_round
 from .ranking import prefix_sums, score_counts
+from .scalars import scalar_row
 
 
 def auc_exact(scores: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
@@ -27,8 +28,8 @@ def auc_exact(scores: DataFrame, score: str = "score", label: str = "label") ->
 def _desc_curve(scores: DataFrame, score: str, label: str) -> DataFrame:
     c = score_counts(scores, score, label)
     c = prefix_sums(c, [F.col("_score").desc()], ["pos", "neg"])
-    tot = c.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    return c.crossJoin(F.broadcast(tot))
+    tot = scalar_row(c.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")))
+    return c.withColumn("_P", tot["P"]).withColumn("_N", tot["N"])
 
 
 def average_precision(scores: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
@@ -108,8 +109,8 @@ def quantile_bin(scores: DataFrame, n_bins: int, score: str = "score") -> DataFr
     for scorecard PDs, which are already 6-place values).
     """
     probs = [i / n_bins for i in range(1, n_bins)]
-    edges = scores.agg(F.percentile(F.round(F.col(score), 6), probs).alias("_edges"))  # one row
-    j = scores.crossJoin(F.broadcast(edges))
+    edges = scalar_row(scores.agg(F.percentile(F.round(F.col(score), 6), probs).alias("e")))["e"]
+    j = scores.withColumn("_edges", edges)
     return j.withColumn("bin", F.size(F.filter("_edges", lambda e: e < F.col(score)))).drop("_edges")
 
 
@@ -130,8 +131,8 @@ def score_bands(scores: DataFrame, cfg: RiskConfig = DEFAULT, score: str = "scor
     g = scores.groupBy(band_of(score, cfg).alias("band")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col(score) * 1000000.0).cast("long")).alias("_pmicro"),
         F.sum(F.col(label).cast("long")).alias("_y"))
-    total = scores.agg(F.count(F.lit(1)).alias("_total"))
-    j = F.broadcast(bands).join(g, "band", "left").crossJoin(F.broadcast(total))
+    total = scalar_row(scores.agg(F.count(F.lit(1)).alias("n")))["n"]
+    j = F.broadcast(bands).join(g, "band", "left").withColumn("_total", total)
     n = F.coalesce(F.col("n"), F.lit(0))
     return j.select(
         "band", "pd_low", "pd_high", n.cast("long").alias("n_loans"),
@@ -149,8 +150,8 @@ def top_fraction_capture(scores: DataFrame, fraction: float = DEFAULT.top_decile
     """
     base = scores.select(key, score, F.col(label).cast("long").alias("_y"), F.lit(1).cast("long").alias("_one"))
     ranked = prefix_sums(base, [F.col(score).desc(), F.col(key).asc()], ["_one"])
-    tot = base.agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_events"))
-    j = ranked.crossJoin(F.broadcast(tot))
+    tot = scalar_row(base.agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("events")))
+    j = ranked.withColumn("_n", tot["n"]).withColumn("_events", tot["events"])
     k = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(float(fraction))))
     return j.agg(F.sum(F.when(F.col("_one_cum") <= k, F.col("_y")).otherwise(0)).alias("_cap"),
                  F.first("_events").alias("_events"), F.first("_n").alias("_n")).select(

@@ -184,7 +184,8 @@ def data_quality(loans: DataFrame, panel: DataFrame, book: DataFrame, ecl: DataF
         loans.select("loan_id", vintage_label("origination_date").alias("_v")), "loan_id") \
         .groupBy("_v").agg(F.count_if(F.col("months_on_book") == 0).alias("_age0"))
     no_age0 = vint.agg(F.count_if(F.col("_age0") == 0).alias("vintages_without_age0"))
-    one = dl.crossJoin(pk).crossJoin(orphans).crossJoin(pf).crossJoin(unscored).crossJoin(no_age0)
+    from .scalars import one_row
+    one = one_row(dl, pk, orphans, pf, unscored, no_age0)
     rules = [c for c in one.columns]
     stack = "stack({}, {}) as (rule, failures)".format(
         len(rules), ", ".join(f"'{r}', CAST(`{r}` AS BIGINT)" for r in rules))

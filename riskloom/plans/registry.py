@@ -133,7 +133,8 @@ def _lgd_pred(spark, d):
 
 def _monitor_metrics(spark, d):
     t = _test_scores(spark, d)
-    return metrics.auc_exact(t).crossJoin(metrics.brier(t)).crossJoin(monitoring.psi_band(pd_score_table(spark, d)))
+    from ..operators.scalars import one_row
+    return one_row(metrics.auc_exact(t), metrics.brier(t), monitoring.psi_band(pd_score_table(spark, d)))
 
 
 def _ews_target(spark, d):
