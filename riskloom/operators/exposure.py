@@ -49,9 +49,9 @@ def hhi_by_dimension(ecl: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
 
 
 def _top_share(ecl: DataFrame, value: str, k: int, share_name: str, cum_name: str) -> DataFrame:
-    total = scalar_row(ecl.agg(F.sum(value).alias("t")))["t"]
     top = ecl.orderBy(F.desc(value), F.asc("loan_id")).limit(k)
-    ranked = top.withColumn("_share", _d(value) / F.when(total != 0, total.cast("double")))
+    ranked = top.withColumn("_total", scalar_row(ecl.agg(F.sum(value).alias("t")))["t"]) \
+        .withColumn("_share", _d(value) / F.when(F.col("_total") != 0, _d("_total")))
     order = Window.orderBy(F.desc(value), F.asc("loan_id"))  # over k rows
     return ranked.withColumn("rank", F.row_number().over(order).cast("long")) \
         .withColumn(share_name, F.round("_share", 4)) \
@@ -116,9 +116,10 @@ def reconcile(ecl: DataFrame, scenarios: DataFrame, cfg: RiskConfig = DEFAULT) -
     names = ("base", "downside", "severe")
     t = ecl.agg(F.sum("ecl_base").alias("base"), F.sum("ecl_downside").alias("downside"),
                 F.sum("ecl_severe").alias("severe"), F.sum("ecl_weighted").alias("stored"))
-    w = scalar_row(scenarios.groupBy().pivot("scenario", list(names)).agg(F.max("weight")))
-    j = t
-    recomputed = w["base"] * F.col("base") + w["downside"] * F.col("downside") + w["severe"] * F.col("severe")
+    weights = scenarios.agg(*[F.max(F.when(F.col("scenario") == n, F.col("weight"))).alias(n) for n in names])
+    j = t.withColumn("_w", scalar_row(weights))  # one scalar subquery, read three times
+    recomputed = F.col("_w.base") * F.col("base") + F.col("_w.downside") * F.col("downside") \
+        + F.col("_w.severe") * F.col("severe")
     return j.select(
         F.round("base", 2).cast("double").alias("ecl_base"),
         F.round("downside", 2).cast("double").alias("ecl_downside"),

@@ -29,7 +29,7 @@ def _desc_curve(scores: DataFrame, score: str, label: str) -> DataFrame:
     c = score_counts(scores, score, label)
     c = prefix_sums(c, [F.col("_score").desc()], ["pos", "neg"])
     tot = scalar_row(c.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")))
-    return c.withColumn("_P", tot["P"]).withColumn("_N", tot["N"])
+    return c.withColumn("_tot", tot).withColumn("_P", F.col("_tot.P")).withColumn("_N", F.col("_tot.N")).drop("_tot")
 
 
 def average_precision(scores: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
@@ -151,7 +151,8 @@ def top_fraction_capture(scores: DataFrame, fraction: float = DEFAULT.top_decile
     base = scores.select(key, score, F.col(label).cast("long").alias("_y"), F.lit(1).cast("long").alias("_one"))
     ranked = prefix_sums(base, [F.col(score).desc(), F.col(key).asc()], ["_one"])
     tot = scalar_row(base.agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("events")))
-    j = ranked.withColumn("_n", tot["n"]).withColumn("_events", tot["events"])
+    j = ranked.withColumn("_tot", tot).withColumn("_n", F.col("_tot.n")).withColumn("_events", F.col("_tot.events")) \
+        .drop("_tot")
     k = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(float(fraction))))
     return j.agg(F.sum(F.when(F.col("_one_cum") <= k, F.col("_y")).otherwise(0)).alias("_cap"),
                  F.first("_events").alias("_events"), F.first("_n").alias("_n")).select(

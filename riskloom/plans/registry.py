@@ -237,6 +237,12 @@ from ..operators import models as _models  # noqa: E402
 
 _FITS: dict[tuple, object] = {}
 
+# keys whose callable fits a model (rows-only checks; no oracle SQL)
+MODEL_KEYS = frozenset({"m3_m5_pd_models", "m17_pd_score_book", "m13_lgd_gbt", "m15_lgd_model_segment_errors",
+                        "m16_permutation_importance", "m19_ews_gbt", "m21_ews_model_watchlist", "risk_batch_job"})
+# the keys among them that trigger a fit (the others reuse it)
+FIT_KEYS = frozenset({"m3_m5_pd_models", "m13_lgd_gbt", "m19_ews_gbt", "risk_batch_job"})
+
 
 def forget_fits() -> None:
     _FITS.clear()

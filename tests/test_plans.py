@@ -5,10 +5,10 @@ import io
 import pytest
 
 import __spark_entry__ as se
+from riskloom.plans import registry
 from tests.conftest import SF001
 
-MODEL_KEYS = {"m3_m5_pd_models", "m17_pd_score_book", "m13_lgd_gbt", "m15_lgd_model_segment_errors",
-              "m16_permutation_importance", "m19_ews_gbt", "m21_ews_model_watchlist", "risk_batch_job"}
+MODEL_KEYS = registry.MODEL_KEYS
 
 
 def _plan(df) -> str:

@@ -16,8 +16,7 @@ from riskloom.plans import registry  # noqa: E402
 from riskloom.session import local_session  # noqa: E402
 from riskloom.sources.mart_store import materialize_tpch  # noqa: E402
 
-MODEL_KEYS = {"m3_m5_pd_models", "m17_pd_score_book", "m13_lgd_gbt", "m15_lgd_model_segment_errors",
-              "m16_permutation_importance", "m19_ews_gbt", "m21_ews_model_watchlist", "risk_batch_job"}
+MODEL_KEYS = registry.MODEL_KEYS
 
 
 def plan_text(df) -> str:
