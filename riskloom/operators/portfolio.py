@@ -52,6 +52,15 @@ def behaviour_12m(panel: DataFrame, dpd_col: str = "dpd") -> DataFrame:
     return summary.join(age, "loan_id")
 
 
+# --- fixed values (must match the reference model): EAD, PD and LGD scorecards ----
+# EAD   = amount x clip(1 - age/term, 0.15, 1) x (0.85 + 0.15 utilisation/100)
+# logit = -3.2 + 2.4 (680 - score)/50 + 0.9 (dti - 36)/10 + 1.1 (ltv - 72)/12
+#         + 0.8 (1.35 - dscr)/0.35 + 0.5 utilisation/100 + 0.04 missed + 0.015 max DPD
+#         + sector add-on (config.PD_SECTOR_ADDON)
+# LGD   = clip(sector base + 0.35 (ltv - 72)/100 - 0.10 (dscr - 1.35), 0.02, 0.95)
+# The expressions below state these numbers in this order.
+# -----------------------------------------------------------------------------------
+
 def ead_projection(amount="loan_amount", age="loan_age_months", term="term_months",
                    util="utilization") -> Column:
     """EAD = amount x clip(1 - age/term, 0.15, 1) x (0.85 + 0.15 util/100), to cents."""

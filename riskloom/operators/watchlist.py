@@ -22,6 +22,11 @@ def _latest_and_trailing(panel: DataFrame, months: int = 6) -> DataFrame:
         F.max("dpd").alias("max_dpd_6m"))
 
 
+# fixed values (must match the reference query): watch score =
+#   0.45 PD + 0.25 min(max DPD 6m / 90, 1) + 0.20 (stage - 1) / 2 + 0.10 min(months delinquent / 6, 1)
+# entry: stage >= 2, PD >= 0.15 or DPD >= 30; top 50 by expected loss at risk
+
+
 def watchlist(panel: DataFrame, loans: DataFrame, ecl: DataFrame, k: int = 50,
               rank_by: str = "expected_loss_at_risk") -> DataFrame:
     """q8a: top-k loans by PD x LGD x balance among elevated-risk accounts.
