@@ -112,10 +112,37 @@ def ratio_round(num, den, digits: int) -> Column:
     a rounding tie; integer arithmetic rounds those the same in every
     engine, where floating point would not. NULL when ``den`` is 0.
     """
+    from pyspark.sql import types as T
     scale = 10 ** digits
-    n, d = _col(num).cast("long"), _col(den).cast("long")
-    q = (n * F.lit(2 * scale) + d).cast("long")
-    return F.when(d > 0, idiv(q, d * 2).cast("double") / F.lit(float(scale)))
+    wide = T.DecimalType(38, 0)  # no overflow for sums over any realistic row count
+    n, d = _col(num).cast(wide), _col(den).cast(wide)
+    q = n * F.lit(2 * scale).cast(wide) + d
+    return F.when(d > 0, idiv(q, d * F.lit(2).cast(wide)).cast("double") / F.lit(float(scale)))
+
+
+def round_cents(x) -> Column:
+    """Money rounded to cents through integer cents: round(x * 100) / 100.
+
+    ``round(x, 2)`` on a double rounds its shortest decimal form in one
+    engine and the binary value times 100 in another; products of two-place
+    amounts hit exact ties often enough to differ. A half at whole-cent
+    granularity is exactly representable, so rounding ``x * 100`` to an
+    integer agrees everywhere.
+    """
+    return F.round(_col(x) * 100.0) / F.lit(100.0)
+
+
+def micros(x) -> Column:
+    """A 6-place value as an exact integer count of millionths."""
+    return F.round(_col(x) * 1000000.0).cast("long")
+
+
+def money(x) -> Column:
+    """DECIMAL(14,2) of a non-negative double amount, via integer cents."""
+    from decimal import Decimal
+    from pyspark.sql import types as T
+    cents = F.round(_col(x) * 100.0).cast("long")
+    return (cents.cast(T.DecimalType(18, 0)) * F.lit(Decimal("0.01"))).cast(T.DecimalType(14, 2))
 
 
 def idiv(a, b) -> Column:

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT, RiskConfig
-from ..functions.columns import assign_stage, clip, discount_factor, effective_pd, lifetime_pd, ratio_round
+from ..functions.columns import (assign_stage, clip, discount_factor, effective_pd, lifetime_pd, money,
+                                 ratio_round)
 from .portfolio import scorecard_lgd
 
 MONEY = T.DecimalType(14, 2)
@@ -39,8 +40,8 @@ def ecl_columns(base: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
         weighted = term if weighted is None else weighted + term
     df = df.withColumn("_raw_weighted", weighted)
     for name in cfg.scenario_names:
-        df = df.withColumn(f"ecl_{name}", F.round(F.col(f"_raw_{name}"), 2).cast(MONEY))
-    df = df.withColumn("ecl_weighted", F.round(F.col("_raw_weighted"), 2).cast(MONEY))
+        df = df.withColumn(f"ecl_{name}", money(F.col(f"_raw_{name}")))
+    df = df.withColumn("ecl_weighted", money(F.col("_raw_weighted")))
     df = df.withColumn("pd_lifetime", F.round(lifetime_pd(pd12, cfg.lifetime_horizon_years), 6))
     df = df.withColumn("effective_pd_base", F.round(effective_pd("stage", pd12, F.col("pd_lifetime")), 6))
     df = df.withColumn("coverage_ratio", F.round(F.try_divide(F.col("_raw_weighted"),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, RiskConfig
-from ..functions.columns import ratio_round
+from ..functions.columns import micros, ratio_round, round_cents
 from .ranking import prefix_sums, score_counts
 from .scalars import scalar_row
 
@@ -93,10 +93,10 @@ def confusion(scores: DataFrame, threshold: float = DEFAULT.policy_threshold,
 def calibration_bins(scores: DataFrame, n_bins: int = 10, score: str = "score", label: str = "label") -> DataFrame:
     """Quantile calibration: bin = number of inner quantile edges below the score
     (see ``quantile_bin``); mean predicted and observed rate per non-empty bin."""
-    g = quantile_bin(scores, n_bins, score).groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg(score).alias("_p"),
-                                  F.sum(F.col(label).cast("long")).alias("_y"))
+    g = quantile_bin(scores, n_bins, score).groupBy("bin").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(micros(score)).alias("_pu"), F.sum(F.col(label).cast("long")).alias("_y"))
     return g.select(F.col("bin").cast("long"), F.col("n").cast("long"),
-                    F.round("_p", 6).alias("mean_predicted"),
+                    ratio_round("_pu", F.col("n") * 1000000, 6).alias("mean_predicted"),
                     ratio_round("_y", "n", 6).alias("observed_rate")).orderBy("bin")
 
 
@@ -166,26 +166,31 @@ def top_k_watchlist(scored: DataFrame, k: int = DEFAULT.watchlist_size, score: s
                     key: str = "loan_id") -> DataFrame:
     """Top-k rows by score (ties by key) with score x EAD as loss at risk."""
     top = scored.orderBy(F.desc(score), F.asc(key)).limit(k)
-    return top.withColumn("expected_loss_at_risk", F.round(F.col(score) * F.col("ead"), 2)) \
+    return top.withColumn("expected_loss_at_risk", round_cents(F.col(score) * F.col("ead"))) \
         .withColumn("rank", F.row_number().over(Window.orderBy(F.desc(score), F.asc(key))).cast("long"))
 
 
 def regression_metrics(pred: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     """MAE, RMSE, R2, means and count of a regression (one row)."""
     e = F.col(actual) - F.col(predicted)
-    g = pred.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
-                 F.avg(actual).alias("mean_actual"), F.avg(predicted).alias("mean_predicted"),
+    # means and MAE from exact sums of millionths (ties round the same everywhere)
+    g = pred.agg(F.count(F.lit(1)).alias("n"), F.sum(F.abs(micros(actual) - micros(predicted))).alias("_ae"),
+                 F.avg(e * e).alias("mse"), F.sum(micros(actual)).alias("_a"), F.sum(micros(predicted)).alias("_p"),
                  F.var_pop(actual).alias("_var"))
-    return g.select(F.col("n").cast("long"), F.round("mae", 6).alias("mae"), F.round(F.sqrt("mse"), 6).alias("rmse"),
+    n_u = F.col("n") * 1000000
+    return g.select(F.col("n").cast("long"), ratio_round("_ae", n_u, 6).alias("mae"),
+                    F.round(F.sqrt("mse"), 6).alias("rmse"),
                     F.round(F.lit(1.0) - F.col("mse") / F.col("_var"), 6).alias("r2"),
-                    F.round("mean_actual", 6).alias("mean_actual"), F.round("mean_predicted", 6).alias("mean_predicted"))
+                    ratio_round("_a", n_u, 6).alias("mean_actual"), ratio_round("_p", n_u, 6).alias("mean_predicted"))
 
 
 def segment_errors(pred: DataFrame, segment: str = "sector", actual: str = "actual",
                    predicted: str = "predicted") -> DataFrame:
     """Count, mean actual, mean predicted and MAE per segment, worst first."""
-    g = pred.groupBy(segment).agg(F.count(F.lit(1)).alias("n"), F.avg(actual).alias("a"), F.avg(predicted).alias("p"),
-                                  F.avg(F.abs(F.col(actual) - F.col(predicted))).alias("m"))
-    return g.select(segment, F.col("n").cast("long"), F.round("a", 6).alias("mean_actual_lgd"),
-                    F.round("p", 6).alias("mean_pred_lgd"), F.round("m", 6).alias("mae")) \
+    g = pred.groupBy(segment).agg(F.count(F.lit(1)).alias("n"), F.sum(micros(actual)).alias("a"),
+                                  F.sum(micros(predicted)).alias("p"),
+                                  F.sum(F.abs(micros(actual) - micros(predicted))).alias("m"))
+    n_u = F.col("n") * 1000000
+    return g.select(segment, F.col("n").cast("long"), ratio_round("a", n_u, 6).alias("mean_actual_lgd"),
+                    ratio_round("p", n_u, 6).alias("mean_pred_lgd"), ratio_round("m", n_u, 6).alias("mae")) \
         .orderBy(F.desc("mae"), segment)

@@ -146,13 +146,15 @@ def hosmer_lemeshow(scores: DataFrame, n_bins: int = 10, score: str = "score", l
 def binomial_light(scores: DataFrame, cfg: RiskConfig = DEFAULT, amber_z: float = 1.645, red_z: float = 2.326,
                    score: str = "score", label: str = "label") -> DataFrame:
     """v5b: one-sided z-score of observed vs expected defaults per PD band (normal approximation)."""
+    from ..functions.columns import micros, ratio_round
     g = scores.groupBy(band_of(score, cfg).alias("band")).agg(
-        F.count(F.lit(1)).alias("n_loans"), F.sum(score).alias("e"), F.sum(F.col(label).cast("long")).alias("o"))
+        F.count(F.lit(1)).alias("n_loans"), F.sum(score).alias("e"), F.sum(micros(score)).alias("_eu"),
+        F.sum(F.col(label).cast("long")).alias("o"))
     z = (F.col("o") - F.col("e")) / F.sqrt(F.col("e") * (F.lit(1.0) - F.col("e") / F.col("n_loans")))
     g = g.withColumn("_z", F.when((F.col("e") > 0) & (F.col("e") < F.col("n_loans")), z))
     light = F.when(F.col("_z").isNull(), F.lit("n/a")).when(F.col("_z") > red_z, F.lit("red")) \
         .when(F.col("_z") > amber_z, F.lit("amber")).otherwise(F.lit("green"))
-    return g.select("band", F.col("n_loans").cast("long"), F.round("e", 4).alias("expected_defaults"),
+    return g.select("band", F.col("n_loans").cast("long"), ratio_round("_eu", F.lit(1000000), 4).alias("expected_defaults"),
                     F.col("o").cast("long").alias("observed_defaults"), F.round("_z", 4).alias("z_score"),
                     light.alias("traffic_light")).orderBy("band")
 

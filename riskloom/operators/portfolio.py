@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import LGD_SECTOR_BASE, PD_INTERCEPT, PD_SECTOR_ADDON
-from ..functions.columns import clip, sigmoid
+from ..functions.columns import clip, round_cents, sigmoid
 from .sequence import top_k_per_key
 
 
@@ -66,7 +66,7 @@ def ead_projection(amount="loan_amount", age="loan_age_months", term="term_month
     """EAD = amount x clip(1 - age/term, 0.15, 1) x (0.85 + 0.15 util/100), to cents."""
     amort = clip(F.lit(1.0) - F.col(age) / F.col(term), 0.15, 1.0)
     draw = F.lit(0.85) + F.lit(0.15) * F.col(util) / F.lit(100.0)
-    return F.round(F.col(amount) * amort * draw, 2)
+    return round_cents(F.col(amount) * amort * draw)
 
 
 def pd_logit() -> Column:

@@ -12,9 +12,10 @@ TABLES = "region nation customer supplier part orders lineitem".split()
 
 
 def _norm(v):
+    # exact: doubles must be bit-identical in both engines
     if isinstance(v, (float, Decimal)):
         v = float(v)
-        return "nan" if math.isnan(v) else float(f"{v:.9g}")
+        return "nan" if math.isnan(v) else repr(v)
     return v
 
 
