@@ -9,10 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..operators import ecl as ecl_ops
-from ..operators import exposure, panel, watchlist
+from ..operators import exposure, metrics, monitoring, panel, stress, watchlist
+from ..operators import models as _models
+from ..operators.portfolio import behaviour_12m, scorecard_lgd
+from ..operators.scalars import one_row
 from ..sources.tpch_mart import Mart, mart_from_tpch
 
 _MARTS: dict[tuple, Mart] = {}
@@ -93,10 +97,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 # --- loan-level features, ECL engine, stress --------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from ..operators import metrics, monitoring, stress  # noqa: E402
-from ..operators.portfolio import behaviour_12m  # noqa: E402
 
 
 def _book(spark, d):
@@ -109,7 +109,6 @@ def _loan_level(spark, d):
 
 def _stress_base(spark, d):
     """Scorecard scores live on the same rows as the book: a projection, no joins."""
-    from ..operators.portfolio import scorecard_lgd
     return _book(spark, d).select("loan_id", "sector", "region", "ead", F.col("true_pd").alias("pd_hat"),
                                   scorecard_lgd().alias("lgd_hat"))
 
@@ -125,7 +124,6 @@ def _test_scores(spark, d):
 
 
 def _lgd_pred(spark, d):
-    from ..operators.portfolio import scorecard_lgd
     b = _book(spark, d)
     return b.filter(F.col("default_flag") == 1).filter(monitoring.hash_split() == "test").select(
         "loan_id", "sector", F.col("lgd").alias("actual"), scorecard_lgd().alias("predicted"))
@@ -133,7 +131,6 @@ def _lgd_pred(spark, d):
 
 def _monitor_metrics(spark, d):
     t = _test_scores(spark, d)
-    from ..operators.scalars import one_row
     return one_row(metrics.auc_exact(t), metrics.brier(t), monitoring.psi_band(pd_score_table(spark, d)))
 
 
@@ -157,7 +154,6 @@ def _dq(spark, d):
 
 
 def _lgd_scorecard(spark, d):
-    from ..operators.portfolio import scorecard_lgd
     return _book(spark, d).select("loan_id", "sector", "default_flag", "lgd", scorecard_lgd().alias("lgd_hat"))
 
 
@@ -212,7 +208,7 @@ _MORE = {
 
 def normalized(df: DataFrame) -> DataFrame:
     """End every query with BIGINT / DOUBLE / VARCHAR / DATE columns."""
-    from pyspark.sql import types as T
+    from pyspark.sql import types as T  # noqa: N812
     out = []
     for f in df.schema.fields:
         t = f.dataType
@@ -233,7 +229,6 @@ QUERIES.update({k: _wrap(v) for k, v in _MORE.items()})
 
 
 # --- model fits (rows-only checks; fitted once per session and table folder) ---------------
-from ..operators import models as _models  # noqa: E402
 
 _FITS: dict[tuple, object] = {}
 
