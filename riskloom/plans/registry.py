@@ -255,7 +255,10 @@ def _fit(kind: str, spark, d):
             _FITS[k] = _models.train_ews(book, _models.QUICK)
         elif kind == "job":
             from .job import run_risk_job
-            _FITS[k] = run_risk_job(spark, d, None, _models.QUICK, mart=get_mart(spark, d))
+            # reuse the three model fits when this session already made them
+            have = [("pd",) + _key(spark, d), ("lgd",) + _key(spark, d), ("ews",) + _key(spark, d)]
+            fitted = tuple(_FITS[h] for h in have) if all(h in _FITS for h in have) else None
+            _FITS[k] = run_risk_job(spark, d, None, _models.QUICK, mart=get_mart(spark, d), fitted=fitted)
     return _FITS[k]
 
 
