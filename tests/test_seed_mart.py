@@ -90,3 +90,19 @@ def test_calendar_lag_drops_gaps(spark):
 
 def test_util_jump_calendar(seed):
     assert panel.utilization_jump(seed.fact_loan_monthly, seed.dim_loan, calendar=True).count() == 1
+
+
+def test_calendar_option_on_stage_and_cure_queries(spark):
+    import datetime as dt
+    from decimal import Decimal as D
+    from riskloom.schemas import FACT_LOAN_MONTHLY
+    # one loan: Jan stage 1 (Current), Feb stage 2 (30-59), May stage 3 (90+): the Feb -> May gap is 3 months
+    rows = [(7, dt.date(2023, 1, 1), 0, D("1"), D("1"), 0, "Current", D("1"), 1, 0, D("0"), D("0")),
+            (7, dt.date(2023, 2, 1), 1, D("1"), D("1"), 35, "30-59", D("1"), 2, 0, D("0"), D("0")),
+            (7, dt.date(2023, 5, 1), 2, D("1"), D("1"), 95, "90+", D("1"), 3, 0, D("0"), D("0"))]
+    p = spark.createDataFrame(rows, FACT_LOAN_MONTHLY)
+    assert panel.stage_matrix(p).count() == 2
+    assert [(r["from_stage"], r["to_stage"]) for r in panel.stage_matrix(p, calendar=True).collect()] == [(1, 2)]
+    assert [tuple(r) for r in panel.stage_drift(p, calendar=True).collect()] == [(1, 0, 1, -1), (2, 1, 0, 1), (3, 0, 0, 0)]
+    assert panel.forward_cure(p).count() == 1             # May counts Feb as last month
+    assert panel.forward_cure(p, calendar=True).count() == 0
