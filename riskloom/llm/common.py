@@ -47,8 +47,8 @@ def held_out(doc_id: Column) -> Column:
     return (F.crc32(doc_id.cast("string").cast("binary")) % 5) == 0
 
 
-def label_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
-    """(doc_id, text, y) of at most ``max_rows`` labelled training rows, chosen by a hash of the id.
+def label_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> tuple[DataFrame, int]:
+    """(doc_id, text, y) of at most ``max_rows`` labelled training rows, chosen by a hash of the id, and their number.
 
     Only rows outside the held-out fifth are used. A doc_id with several
     labels or texts counts once (largest label, smallest text).
@@ -59,10 +59,8 @@ def label_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int)
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     )
     keys = write_table(keys, "label-keys")  # at most max_rows narrow rows
-    return (
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .join(F.broadcast(keys), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
-    )
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return texts.join(F.broadcast(keys), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")), keys.count()
 
 
 def slices(values: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

@@ -3,32 +3,146 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+import corpus_pipeline
+
+from .common import held_out, scratch_path, table, write_table
+from .html_main import main_text
 from .multi_index import nearest
+from .packing import pack_best_fit
 from .projection_dedup import near_duplicate_vectors
+from .quality import fit_quality, quality_scores
 from .simhash import fingerprint_hex, simhash_groups
+from .token_files import crc_of, read_token_files, write_token_files
+from .toxicity import fit_toxicity, toxicity_scores
+from .viterbi import decode_pieces, encode_pieces
+from .warc import assemble_transactions, read_warc, write_warc
+
+QUALITY_THRESHOLD = corpus_pipeline.QUALITY_THRESHOLD
+TOXICITY_THRESHOLD = corpus_pipeline.TOXICITY_THRESHOLD
+END_ID = 2
+
+
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    records = write_table(read_warc(spark, path, payload=False).drop("payload"), "warc-records")
+    captures = assemble_transactions(records).where(F.col("record_id").isNotNull() & (F.col("part") == 0)).select(
+        "record_id", F.col("metadata")[0]["fields"]["pageId"].cast("long").alias("page_id"), F.col("capture.type").alias("record_type"),
+        F.col("capture.refers_to").alias("refers"), F.col("capture.payload_bytes").alias("bytes"), F.col("capture.payload_digest").alias("payload_digest"))
+    captures = write_table(captures, "warc-captures")
+    firsts = captures.where(F.col("record_type") == "response").select(F.col("record_id").alias("refers"), F.col("page_id").alias("refers_to"), F.col("bytes").alias("first_bytes"))
+    # revisits of one page may be many: they are the left side, which AQE splits
+    return captures.join(firsts, "refers", "left").select("page_id", F.coalesce("bytes", "first_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+
+
+OP1_SQL = """
+WITH p AS (
+  SELECT DISTINCT page_id, url, coalesce(html, '') AS body FROM pages
+), d AS (
+  SELECT page_id, url, octet_length(encode(body)) AS n, sha1(body) AS digest FROM p
+), f AS (
+  SELECT digest, max(page_id) AS first_id FROM d WHERE n >= 1000 GROUP BY digest
+)
+SELECT d.page_id, CAST(d.n AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
+       CASE WHEN f.first_id <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_id <> d.page_id THEN f.first_id END AS refers_to
+FROM d LEFT JOIN f ON d.digest = f.digest AND d.n >= 1000
+"""
+
+
+def word_count(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
+
+
+def op2_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_best_fit(table(spark, sf_dir, "documents").select("doc_id", word_count(F.col("text")).alias("length")))
+
+
+def _scored(scores: DataFrame, threshold: float) -> DataFrame:
+    return scores.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _scored(quality_scores(docs, fit_quality(docs, table(spark, sf_dir, "labels"))), QUALITY_THRESHOLD)
 
 
 def op4_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"), END_ID)
+    docs = write_table(read_token_files(spark, path, crc_of, "long"), "token-documents")
+    # ids before each file: one row per file
+    files = docs.groupBy("file", F.regexp_extract("file", r"part-(\d+)", 1).cast("long").alias("part")).agg(F.sum("n_tokens").alias("n"))
+    rows = files.orderBy("part").collect()
+    offsets, total = [], 0
+    for r in rows:
+        offsets.append((r["file"], total))
+        total += r["n"]
+    shift = spark.createDataFrame(offsets, "file string, shift long")
+    return docs.join(F.broadcast(shift), "file").select("doc_id", (F.col("shift") + F.col("start")).alias("start"), "n_tokens", F.col("state").alias("ids_crc32"))
+
+
 def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
+def op7_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_groups(table(spark, sf_dir, "documents"), shingle=3, radius=3)
     return out.select("doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _scored(toxicity_scores(docs, fit_toxicity(docs, table(spark, sf_dir, "labels"))), TOXICITY_THRESHOLD)
+
+
+def _pieces(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
+    model = tokenizer_file("piece_bpe_32k.model")
+    out = decode_pieces(encode_pieces(table(spark, sf_dir, "documents"), model, method=method), model)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
+                      F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+def op10_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pieces(spark, sf_dir, "viterbi")
+
+
+def op10b_piece_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pieces(spark, sf_dir, "merge")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": corpus_pipeline.run,
+    "op1_warc": op1_warc,
+    "op2_best_fit": op2_best_fit,
+    "op3_quality": op3_quality,
     "op4_projection_dedup": op4_projection_dedup,
+    "op5_token_files": op5_token_files,
     "op6_multi_index": op6_multi_index,
+    "op7_host_suffix_array": op7_host_suffix_array,
     "op8_simhash": op8_simhash,
+    "op9_toxicity": op9_toxicity,
+    "op10_piece_viterbi": op10_piece_viterbi,
+    "op10b_piece_merge": op10b_piece_merge,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL}
