@@ -184,7 +184,7 @@ class TextEncoder:
 
     def __call__(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         """(row, ids) of each text in order; a null text is empty."""
-        for at, data, bounds in slices(texts, 2 << 20):
+        for at, data, bounds in slices(texts, 1 << 20):
             if not self.by_piece:
                 raw = data.tobytes()
                 yield from enumerate(self._encode([raw[a:b].decode() for a, b in zip(bounds[:-1], bounds[1:])]), at)

@@ -231,7 +231,7 @@ class Encoder:
 
     def __call__(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         """(row, ids) of each text in order; a null or empty text has none."""
-        for at, data, bounds in slices(texts, 2 << 20):
+        for at, data, bounds in slices(texts, 1 << 20):
             size = np.diff(bounds)
             if self.pieces.dummy_prefix:  # a space before every text that isn't empty
                 some = np.flatnonzero(size)

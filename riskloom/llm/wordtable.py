@@ -28,7 +28,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, fold: n
 
 
 class WordTable:
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], most: int = 2_000_000):
+    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], most: int = 1_500_000):
         self.encode, self.most = encode, most
         self.clear()
 
