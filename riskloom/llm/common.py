@@ -63,7 +63,7 @@ def label_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int)
     return texts.join(F.broadcast(keys), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")), keys.count()
 
 
-def slices(values: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def slices(values: pa.Array, most_bytes: int = 1 << 18) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Cut a string column into runs of whole texts of about ``most_bytes``: (first row, UTF-8 bytes, text starts with the end).
 
     A null text is empty; a text longer than the bound is a run of its own.

@@ -141,9 +141,14 @@ def learn_lexicon(sample: DataFrame, min_texts: int = 4, precision: float = 0.9,
                 cls = (ys * 2 + parts)[at + t.text[word]]
                 for length, h in enumerate(word_keys(data, t, word)):
                     ok = h != 0
-                    pairs = np.unique(np.rec.fromarrays([h[ok], t.text[word][ok], cls[ok]], names="h,t,c"))  # once a text
-                    keys, back = np.unique(pairs.h, return_inverse=True)
-                    counts = np.bincount(back * 4 + pairs.c, minlength=4 * len(keys)).reshape(-1, 4)
+                    h, text, c = h[ok], t.text[word][ok], cls[ok]
+                    order = np.lexsort((text, h))
+                    h, text, c = h[order], text[order], c[order]
+                    once = np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1]))[: len(h)]  # a key counts once a text
+                    h, c = h[once], c[once]
+                    first = np.append(True, h[1:] != h[:-1])[: len(h)]
+                    keys = h[first]
+                    counts = np.bincount((np.cumsum(first) - 1) * 4 + c, minlength=4 * len(keys)).reshape(-1, 4)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), length, np.int32)), pa.array(keys.view(np.int64)), *[pa.array(c) for c in counts.T]], names=["kind", "key", "n0", "n1", "t0", "t1"])
 
     rows = arrow_map(sample.select("text", "y", "part"), fn, "kind int, key long, n0 long, n1 long, t0 long, t1 long")
