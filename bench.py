@@ -29,15 +29,10 @@ WARMUP = ("q9a_allowance", "q4a_nco", "m10_brier")
 FIT_KEYS = registry.FIT_KEYS
 
 
-def _timed_call(fn) -> float:
+def _run(make) -> float:
+    """Seconds to build the plan (with the jobs that building runs) and to compute the whole result."""
     t = time.perf_counter()
-    fn()
-    return time.perf_counter() - t
-
-
-def _run(df) -> float:
-    t = time.perf_counter()
-    df.write.format("noop").mode("overwrite").save()
+    make().write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t
 
 
@@ -78,7 +73,7 @@ def main() -> None:
 
     names = [n for n in registry.QUERIES if not only or n in only]
     for name in WARMUP:  # JIT and planner warm-up, untimed
-        _run(registry.QUERIES[name](spark, sf_dir))
+        _run(lambda: registry.QUERIES[name](spark, sf_dir))
 
     times: dict[str, float | None] = {}
     errors: dict[str, str] = {}
@@ -88,9 +83,9 @@ def main() -> None:
             if name in FIT_KEYS:
                 # a model fit is part of the query: fit once, from scratch, timed once
                 registry.forget_fits()
-                times[name] = round(_timed_call(lambda: _run(fn(spark, sf_dir))), 4)
+                times[name] = round(_run(lambda: fn(spark, sf_dir)), 4)
                 continue
-            runs = [_run(fn(spark, sf_dir)) for _ in range(repeats)]
+            runs = [_run(lambda: fn(spark, sf_dir)) for _ in range(repeats)]
             times[name] = round(statistics.median(runs), 4)
         except Exception as exc:  # record and go on: one failure must not hide the rest
             times[name] = None
@@ -100,8 +95,8 @@ def main() -> None:
 
     registry.forget_marts()
     flagship = registry.QUERIES["q9b_stage_sector"]
-    _run(flagship(spark, sf_dir))  # warm
-    raw = _run(flagship(spark, sf_dir))
+    _run(lambda: flagship(spark, sf_dir))  # warm
+    raw = _run(lambda: flagship(spark, sf_dir))
 
     total = sum(v for v in times.values() if v is not None)
     print(json.dumps({

@@ -56,12 +56,19 @@ def auc_and_ap(scores: DataFrame, score: str = "score", label: str = "label") ->
                 F.round("_ap", 6).alias("pr_auc"))
 
 
+def _anchor(c: DataFrame, **point: float) -> DataFrame:
+    """The curve's starting point: no score is high enough, so the threshold is null."""
+    one = c.sparkSession.range(1)
+    return one.select(F.lit(None).cast("double").alias("threshold"), *[F.lit(v).alias(k) for k, v in point.items()])
+
+
 def roc_points(scores: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """ROC curve: one row per distinct threshold (fpr, tpr at score >= threshold)."""
     c = _desc_curve(scores, score, label)
     return c.select(F.col("_score").alias("threshold"),
                     ratio_round("neg_cum", "_N", 6).alias("fpr"),
-                    ratio_round("pos_cum", "_P", 6).alias("tpr")).orderBy(F.desc("threshold"))
+                    ratio_round("pos_cum", "_P", 6).alias("tpr")) \
+        .unionByName(_anchor(c, fpr=0.0, tpr=0.0)).orderBy(F.desc_nulls_first("threshold"))
 
 
 def pr_points(scores: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
@@ -70,7 +77,7 @@ def pr_points(scores: DataFrame, score: str = "score", label: str = "label") ->
     return c.select(F.col("_score").alias("threshold"),
                     ratio_round("pos_cum", "_P", 6).alias("recall"),
                     ratio_round("pos_cum", F.col("pos_cum") + F.col("neg_cum"), 6).alias("precision")) \
-        .orderBy(F.desc("threshold"))
+        .unionByName(_anchor(c, recall=0.0, precision=1.0)).orderBy(F.desc_nulls_first("threshold"))
 
 
 def brier(scores: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
@@ -109,9 +116,11 @@ def quantile_bin(scores: DataFrame, n_bins: int, score: str = "score") -> DataFr
     for scorecard PDs, which are already 6-place values).
     """
     probs = [i / n_bins for i in range(1, n_bins)]
-    edges = scalar_row(scores.agg(F.percentile(F.round(F.col(score), 6), probs).alias("e")))["e"]
+    value = F.round(F.col(score), 6)
+    counts = scores.groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("n"))  # one entry per value reaches the merge
+    edges = scalar_row(counts.agg(F.percentile("v", probs, F.col("n")).alias("e")))["e"]
     j = scores.withColumn("_edges", edges)
-    return j.withColumn("bin", F.size(F.filter("_edges", lambda e: e < F.col(score)))).drop("_edges")
+    return j.withColumn("bin", F.size(F.filter("_edges", lambda e: e < value))).drop("_edges")
 
 
 def band_of(score_col: str, cfg: RiskConfig = DEFAULT) -> F.Column:
@@ -132,7 +141,7 @@ def score_bands(scores: DataFrame, cfg: RiskConfig = DEFAULT, score: str = "scor
         F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col(score) * 1000000.0).cast("long")).alias("_pmicro"),
         F.sum(F.col(label).cast("long")).alias("_y"))
     total = scalar_row(scores.agg(F.count(F.lit(1)).alias("n")))["n"]
-    j = F.broadcast(bands).join(g, "band", "left").withColumn("_total", total)
+    j = bands.join(g, "band", "left").withColumn("_total", total)
     n = F.coalesce(F.col("n"), F.lit(0))
     return j.select(
         "band", "pd_low", "pd_high", n.cast("long").alias("n_loans"),

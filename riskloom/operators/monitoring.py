@@ -2,10 +2,13 @@
 Hosmer-Lemeshow, binomial traffic light and data-quality rules."""
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, MONITOR_TRIGGERS, RiskConfig
+from ..config import DEFAULT, MONITOR_TRIGGERS, PD_CATEGORICAL, PD_FEATURES, RiskConfig
 from .metrics import band_of
 
 
@@ -29,7 +32,7 @@ def exact_stratified_split(df: DataFrame, label: str, key: str = "loan_id",
     a large stratum is spread over many tasks.
     """
     from .sequence import range_index
-    h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(42)))
+    h = df.withColumn("_h", ((F.col(key) % 1000003) * 1103515245 + 12345) % 2147483648)
     ranked = range_index(h, label, ["_h", key], "_r")
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))  # one row per stratum
     cut = F.floor(F.col("_n") * F.lit(float(test_share)) + F.lit(0.5))
@@ -73,10 +76,11 @@ def psi_features(book: DataFrame, features=("credit_score", "ltv", "dti"), n_bin
         .select("split", "x.feature", "x.value")
     probs = [i / n_bins for i in range(1, n_bins)]
     # value -> count map of the exact percentile stays bounded: values rounded to 6 places
-    edges = long.filter(F.col("split") == "train").groupBy("feature").agg(
-        F.percentile(F.round("value", 6), probs).alias("_edges"))
+    # counted per value first, so that the percentile merges one entry per distinct value
+    counts = long.filter(F.col("split") == "train").groupBy("feature", F.round("value", 6).alias("value")).agg(F.count(F.lit(1)).alias("_n"))
+    edges = counts.groupBy("feature").agg(F.percentile("value", probs, F.col("_n")).alias("_edges"))
     binned = long.join(F.broadcast(edges), "feature") \
-        .withColumn("bin", F.size(F.filter("_edges", lambda e: e < F.col("value"))))
+        .withColumn("bin", F.size(F.filter("_edges", lambda e: e < F.round("value", 6))))
     g = binned.groupBy("feature", "split", "bin").agg(F.count(F.lit(1)).alias("_n"))
     g = g.withColumn("_share", F.col("_n") / F.sum("_n").over(Window.partitionBy("feature", "split")))
     e = g.filter(F.col("split") == "train").select("feature", "bin", F.col("_share").alias("_e"))
@@ -159,26 +163,34 @@ def binomial_light(scores: DataFrame, cfg: RiskConfig = DEFAULT, amber_z: float
                     light.alias("traffic_light")).orderBy("band")
 
 
+def _fails(rule: F.Column) -> F.Column:
+    """True where a rule does not hold; a NULL value does not satisfy it."""
+    return ~F.coalesce(rule, F.lit(False))
+
+
 def data_quality(loans: DataFrame, panel: DataFrame, book: DataFrame, ecl: DataFrame) -> DataFrame:
     """v6: failing-row counts per rule (0 = pass). One aggregate per table, stacked."""
     dl = loans.agg(
         (F.count(F.lit(1)) - F.countDistinct("loan_id")).alias("dim_loan_duplicate_id"),
-        F.count_if(~F.col("credit_score").between(520, 820)).alias("credit_score_out_of_range"),
-        F.count_if(~F.col("ltv_orig").between(30, 110)).alias("ltv_out_of_range"),
-        F.count_if(~F.col("dti").between(5, 75)).alias("dti_out_of_range"),
-        F.count_if(~F.col("dscr").between(0.4, 3.5)).alias("dscr_out_of_range"),
-        F.count_if(~F.col("interest_rate").between(3, 14)).alias("rate_out_of_range"),
-        F.count_if(~F.col("term_months").isin(60, 120, 180, 240, 360)).alias("term_not_allowed"),
+        F.count_if(_fails(F.col("credit_score").between(520, 820))).alias("credit_score_out_of_range"),
+        F.count_if(_fails(F.col("ltv_orig").between(30, 110))).alias("ltv_out_of_range"),
+        F.count_if(_fails(F.col("dti").between(5, 75))).alias("dti_out_of_range"),
+        F.count_if(_fails(F.col("dscr").between(0.4, 3.5))).alias("dscr_out_of_range"),
+        F.count_if(_fails(F.col("interest_rate").between(3, 14))).alias("rate_out_of_range"),
+        F.count_if(_fails(F.col("term_months").isin(60, 120, 180, 240, 360))).alias("term_not_allowed"),
         F.count_if(F.col("sector").isNull() | F.col("region").isNull()).alias("dim_loan_nulls"))
     keys = panel.groupBy("loan_id", "snapshot_month").agg(F.count(F.lit(1)).alias("_c"))
     pk = keys.agg(F.sum(F.col("_c") - 1).alias("panel_duplicate_key"))
     orphans = panel.select("loan_id").join(loans.select("loan_id"), "loan_id", "left_anti") \
         .agg(F.count(F.lit(1)).alias("panel_orphan_rows"))
     pf = book.agg(
-        F.count_if((F.col("default_flag") == 1) & ~F.col("lgd").between(0, 1)).alias("lgd_missing_or_out_of_range"),
+        F.count_if((F.col("default_flag") == 1) & _fails(F.col("lgd").between(0, 1))).alias("lgd_missing_or_out_of_range"),
         F.count_if((F.col("default_flag") == 0) & F.col("lgd").isNotNull()).alias("lgd_on_performing_loan"),
-        F.count_if(~(F.col("ead") > 0)).alias("ead_not_positive"),
-        F.when(~(F.avg("default_flag").between(0.02, 0.40)), F.lit(1)).otherwise(F.lit(0)).alias("default_rate_implausible"))
+        F.count_if(_fails(F.col("ead") > 0)).alias("ead_not_positive"),
+        F.count_if(_fails(F.col("true_pd").between(0, 1))).alias("pd_missing_or_out_of_range"),
+        F.count_if(_fails(F.col("default_flag").isin(0, 1))).alias("default_flag_not_binary"),
+        F.count_if(reduce(or_, [F.col(c).isNull() for c in PD_FEATURES + PD_CATEGORICAL])).alias("pd_feature_nulls"),
+        F.when(_fails(F.avg("default_flag").between(0.02, 0.40)), F.lit(1)).otherwise(F.lit(0)).alias("default_rate_implausible"))
     unscored = book.select("loan_id").join(ecl.select("loan_id"), "loan_id", "left_anti") \
         .agg(F.count(F.lit(1)).alias("unscored_loans"))
     from ..functions.columns import vintage_label

@@ -25,28 +25,18 @@ from ..session import durable
 _POS_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
-_HOT_MEMO: dict[tuple, object] = {}
-
-
 def hot_keys(df: DataFrame, key: str, cfg: RiskConfig = DEFAULT):
     """Keys holding more than ``cfg.hot_key_rows`` rows, with a checked count.
 
     Returns ``(hot_df, n_hot)`` or ``None`` when no key is hot. The hot set
     is at most total_rows / hot_key_rows keys; it is broadcast only when its
     counted size is under ``cfg.max_broadcast_keys``. The check is one
-    partial aggregate over the key column; its outcome is remembered per
-    plan, so re-running the same query does not count again.
+    partial aggregate over the key column, made anew each time (files may have changed).
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     hot = counts.filter(F.col("_rows") > cfg.hot_key_rows).select(key)
-    memo = (hot.semanticHash(), cfg.hot_key_rows)
-    if memo not in _HOT_MEMO:
-        n_hot = hot.count()
-        _HOT_MEMO[memo] = None if n_hot == 0 else n_hot
-    n_hot = _HOT_MEMO[memo]
-    if n_hot is None:
-        return None
-    return hot, n_hot
+    n_hot = hot.count()
+    return (hot, n_hot) if n_hot else None
 
 
 def _split(df: DataFrame, key: str, cfg: RiskConfig):

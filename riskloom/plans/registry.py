@@ -6,6 +6,7 @@ materialised one (e.g. written once by the bench or the batch job).
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from ..operators import exposure, metrics, monitoring, panel, stress, watchlist
 from ..operators import models as _models
 from ..operators.portfolio import behaviour_12m, scorecard_lgd
 from ..operators.scalars import one_row
+from ..session import checkpoint_dir
 from ..sources.tpch_mart import Mart, mart_from_tpch
 
 _MARTS: dict[tuple, Mart] = {}
@@ -248,22 +250,24 @@ def _fit(kind: str, spark, d):
     if k not in _FITS:
         book = _book(spark, d)
         if kind == "pd":
-            _FITS[k] = _models.train_pd(book, _models.QUICK)
+            _FITS[k] = _models.train_pd(book, _models.FitParams())
         elif kind == "lgd":
-            _FITS[k] = _models.train_lgd(book, _models.QUICK)
+            _FITS[k] = _models.train_lgd(book, _models.FitParams())
         elif kind == "ews":
-            _FITS[k] = _models.train_ews(book, _models.QUICK)
+            _FITS[k] = _models.train_ews(book, _models.FitParams())
         elif kind == "job":
-            from .job import run_risk_job
+            from .job import run_risk_job, written_outputs
             # reuse the three model fits when this session already made them
             have = [("pd",) + _key(spark, d), ("lgd",) + _key(spark, d), ("ews",) + _key(spark, d)]
             fitted = tuple(_FITS[h] for h in have) if all(h in _FITS for h in have) else None
-            _FITS[k] = run_risk_job(spark, d, None, _models.QUICK, mart=get_mart(spark, d), fitted=fitted)
+            out_dir = f"{checkpoint_dir(spark).rstrip('/')}/risk-job-{uuid.uuid4().hex[:12]}"
+            run_risk_job(spark, d, out_dir, _models.FitParams(), mart=get_mart(spark, d), fitted=fitted)
+            _FITS[k] = written_outputs(spark, out_dir)
     return _FITS[k]
 
 
 def _split_counts(spark, d):
-    b = _book(spark, d).withColumn("split", monitoring.hash_split())
+    b = monitoring.exact_stratified_split(_book(spark, d).select("loan_id", "default_flag"), "default_flag")
     return b.groupBy("split", F.col("default_flag").alias("label")).agg(F.count(F.lit(1)).alias("n_loans")) \
         .orderBy("split", "label")
 
@@ -277,5 +281,5 @@ QUERIES.update({k: _wrap(v) for k, v in {
     "m16_permutation_importance": lambda spark, d: _fit("lgd", spark, d).importance,
     "m19_ews_gbt": lambda spark, d: _fit("ews", spark, d).metrics,
     "m21_ews_model_watchlist": lambda spark, d: _fit("ews", spark, d).watchlist,
-    "risk_batch_job": lambda spark, d: _fit("job", spark, d)["ecl_portfolio"],
+    "risk_batch_job": lambda spark, d: _fit("job", spark, d),
 }.items()})

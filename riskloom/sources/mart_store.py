@@ -24,7 +24,8 @@ def _save(spark: SparkSession, df: DataFrame, base: str, tag: str, name: str, bu
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     table = f"riskloom_{name}_{tag}"
-    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, "loan_id").sortBy(*sort_cols)
+    # one task per bucket, so that a table has one file per bucket
+    (df.repartition(buckets, "loan_id").write.mode("overwrite").format("parquet").bucketBy(buckets, "loan_id").sortBy(*sort_cols)
      .option("path", f"{base}/{name}").saveAsTable(table))
     return spark.table(table)
 

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
+from riskloom.plans.oracle_sql import oracle_queries
 from tests.conftest import SF001
 
 TABLES = "region nation customer supplier part orders lineitem".split()
@@ -31,7 +32,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(se.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle_queries()))
 def test_query_matches_oracle(spark, con, name):
     sdf = se.queries()[name](spark, SF001)
     rel = con.sql(se.oracle_sql()[name])

@@ -46,7 +46,7 @@ def _single_partition_inputs_are_aggregated(lines: list[str]) -> list[str]:
     return bad
 
 
-@pytest.mark.parametrize("name", sorted(set(se.queries()) - MODEL_KEYS))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - MODEL_KEYS))
 def test_plan_properties(spark, name):
     df = se.queries()[name](spark, SF001)
     lines = _simple_plan(df)
