@@ -35,7 +35,7 @@ def tokenizer_file(name: str) -> str:
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
-    records = write_table(read_warc(spark, path, payload=False).drop("payload"), "warc-records")
+    records = read_warc(spark, path, payload=False).drop("payload")
     captures = assemble_transactions(records).where(F.col("record_id").isNotNull() & (F.col("part") == 0)).select(
         "record_id", F.col("metadata")[0]["fields"]["pageId"].cast("long").alias("page_id"), F.col("capture.type").alias("record_type"),
         F.col("capture.refers_to").alias("refers"), F.col("capture.payload_bytes").alias("bytes"), F.col("capture.payload_digest").alias("payload_digest"))

@@ -160,8 +160,9 @@ def assemble_transactions(records: DataFrame, most_related: int = 1000) -> DataF
     (by a hash of their ids), so no row grows without bound. Others that belong to no capture are rows with
     a null ``record_id`` and ``capture``. Null ids belong to nothing.
     """
-    # ``records`` is read several times: give a stored table, without payloads where they are not needed
-    records = records.dropDuplicates(["record_id"]).withColumn("all", F.struct(*records.columns))
+    # read several times, so stored once: leave payloads out where they are not needed
+    records = write_table(records.dropDuplicates(["record_id"]), "warc-records")
+    records = records.withColumn("all", F.struct(*records.columns))
     anchors = records.where(F.col("type").isin(*ANCHORS) & F.col("record_id").isNotNull())
     others = records.where(F.col("type").isin("request", "metadata"))
     links = others.select(F.col("record_id").alias("other"), F.explode("concurrent_to").alias("named")).unionByName(
@@ -170,7 +171,7 @@ def assemble_transactions(records: DataFrame, most_related: int = 1000) -> DataF
     through = (
         links.join(direct.select(F.col("other").alias("named"), "capture_id"), "named").join(direct.select("other"), "other", "left_anti").select("other", "capture_id")
     )
-    belongs = direct.unionByName(through).distinct()
+    belongs = write_table(direct.unionByName(through).distinct(), "warc-belongs")
     counts = belongs.groupBy("capture_id").agg(F.ceil(F.count(F.lit(1)) / most_related).cast("int").alias("parts"))
     dealt = belongs.join(counts, "capture_id").select("other", "capture_id", F.pmod(F.xxhash64("other"), F.col("parts")).cast("int").alias("part"))
     related = dealt.join(others.select(F.col("record_id").alias("other"), "type", "all"), "other")
