@@ -19,7 +19,7 @@ from .scalars import scalar_row
 def auc_exact(scores: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """ROC-AUC (Mann-Whitney with ties at half): one row ``roc_auc``."""
     c = score_counts(scores, score, label)
-    c = prefix_sums(c, [F.col("_score").asc()], ["neg"])
+    c = prefix_sums(c, "_score", ["neg"])
     num = F.sum(F.col("pos").cast("double") * (F.col("neg_cum") - F.col("neg") + F.col("neg") * 0.5))
     return c.agg(num.alias("_u"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n")).select(
         F.round(F.col("_u") / (F.col("_p").cast("double") * F.col("_n").cast("double")), 6).alias("roc_auc"))
@@ -27,7 +27,7 @@ def auc_exact(scores: DataFrame, score: str = "score", label: str = "label") ->
 
 def _desc_curve(scores: DataFrame, score: str, label: str) -> DataFrame:
     c = score_counts(scores, score, label)
-    c = prefix_sums(c, [F.col("_score").desc()], ["pos", "neg"])
+    c = prefix_sums(c, "_score", ["pos", "neg"], descending=True)
     tot = scalar_row(c.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")))
     return c.withColumn("_tot", tot).withColumn("_P", F.col("_tot.P")).withColumn("_N", F.col("_tot.N")).drop("_tot")
 
@@ -155,20 +155,28 @@ def top_fraction_capture(scores: DataFrame, fraction: float = DEFAULT.top_decile
                          label: str = "label", key: str = "loan_id") -> DataFrame:
     """Share of all events among the top ``max(1, floor(fraction * n))`` rows by score.
 
-    Ties broken by ``key``; ranks come from distributed prefix counts.
+    Ties are broken by ``key``. Rows are counted per distinct score; the running counts
+    give the score at which the top ends, and only the rows tied there are ranked by key.
     """
-    base = scores.select(key, score, F.col(label).cast("long").alias("_y"), F.lit(1).cast("long").alias("_one"))
-    ranked = prefix_sums(base, [F.col(score).desc(), F.col(key).asc()], ["_one"])
-    tot = scalar_row(base.agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("events")))
-    j = ranked.withColumn("_tot", tot).withColumn("_n", F.col("_tot.n")).withColumn("_events", F.col("_tot.events")) \
-        .drop("_tot")
-    k = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(float(fraction))))
-    return j.agg(F.sum(F.when(F.col("_one_cum") <= k, F.col("_y")).otherwise(0)).alias("_cap"),
-                 F.first("_events").alias("_events"), F.first("_n").alias("_n")).select(
-        F.col("_n").cast("long").alias("n_scored"),
-        F.col("_events").cast("long").alias("events"),
-        F.col("_cap").cast("long").alias("captured"),
-        ratio_round("_cap", F.greatest(F.lit(1), F.col("_events")), 6).alias("top_decile_capture_rate"))
+    base = scores.select(key, F.col(score).alias("_score"), F.col(label).cast("long").alias("_y"), F.lit(1).cast("long").alias("_one"))
+    counts = base.groupBy("_score").agg(F.count(F.lit(1)).alias("_rows"), F.sum("_y").alias("_events"))
+    counts = prefix_sums(counts, "_score", ["_rows"], descending=True)
+    n = scalar_row(counts.agg(F.sum("_rows").alias("n")))["n"]
+    k = F.greatest(F.lit(1), F.floor(n * F.lit(float(fraction)))).cast("long")
+    last = F.col("_rows_cum") - F.col("_rows")  # rows above this score
+    whole = counts.withColumn("_k", k).agg(
+        F.coalesce(F.sum(F.when(F.col("_rows_cum") <= F.col("_k"), F.col("_events"))), F.lit(0)).alias("above"),
+        F.max(F.when((last < F.col("_k")) & (F.col("_rows_cum") > F.col("_k")), F.struct("_score", (F.col("_k") - last).alias("take")))).alias("cut"),
+        F.sum("_events").alias("events"), F.sum("_rows").alias("n"))
+    top = whole.first()  # one row: the cutting score, how many of its rows are in the top, totals
+    captured = F.lit(top["above"])
+    out = scores.sparkSession.range(1).select(
+        F.lit(top["n"] or 0).cast("long").alias("n_scored"), F.lit(top["events"] or 0).cast("long").alias("events"))
+    if top["cut"] is not None:
+        tied = prefix_sums(base.where(F.col("_score").eqNullSafe(F.lit(top["cut"]["_score"]))).groupBy(key).agg(F.sum("_one").alias("_one"), F.sum("_y").alias("_y")), key, ["_one"])
+        captured = captured + F.coalesce(scalar_row(tied.agg(F.sum(F.when(F.col("_one_cum") <= F.lit(top["cut"]["take"]), F.col("_y"))).alias("y")))["y"], F.lit(0))
+    return out.withColumn("captured", captured.cast("long")).withColumn(
+        "top_decile_capture_rate", ratio_round("captured", F.greatest(F.lit(1), F.col("events")), 6))
 
 
 def top_k_watchlist(scored: DataFrame, k: int = DEFAULT.watchlist_size, score: str = "ews_score",

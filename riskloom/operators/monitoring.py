@@ -2,6 +2,7 @@
 Hosmer-Lemeshow, binomial traffic light and data-quality rules."""
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import or_
 
@@ -122,13 +123,27 @@ def monitor_triggers(metrics: DataFrame) -> DataFrame:
 
 
 def _hl_tail(stat: F.Column, dof: F.Column) -> F.Column:
-    """P(chi2_k > x) = exp(-x/2) * sum_{i < k/2} (x/2)^i / i!, exact for even k (NULL otherwise)."""
+    """P(chi2_k > x), NULL for k < 1.
+
+    Even k: exp(-x/2) * sum_{i < k/2} (x/2)^i / i!. Odd k: one minus the lower
+    incomplete gamma series h^a e^-h / Gamma(a+1) * sum_n h^n / ((a+1)...(a+n)) with a = k/2, h = x/2
+    (all terms positive; zero to 6 places above h = 600, where e^-h would underflow).
+    """
     half = stat / 2.0
     series = F.aggregate(
-        F.sequence(F.lit(0), (dof / 2 - 1).cast("int")), F.struct(F.lit(0.0).alias("s"), F.lit(1.0).alias("t")),
+        F.sequence(F.lit(0), F.greatest(F.floor(dof / 2) - 1, F.lit(0)).cast("int")), F.struct(F.lit(0.0).alias("s"), F.lit(1.0).alias("t")),
         lambda acc, i: F.struct((acc["s"] + acc["t"]).alias("s"), (acc["t"] * half / (i + 1)).alias("t")),
         lambda acc: acc["s"])
-    return F.when((dof > 0) & (dof % 2 == 0), F.exp(-half) * series)
+    a = dof / 2.0
+    # h^a / Gamma(a + 1) as sqrt(h) / Gamma(3/2) * prod_{i = 1}^{a - 1/2} h / (i + 1/2)
+    lead = F.aggregate(F.filter(F.sequence(F.lit(0), F.floor(dof / 2).cast("int")), lambda i: i > 0),
+                       F.sqrt(half) * F.lit(2.0) / F.sqrt(F.lit(math.pi)), lambda acc, i: acc * half / (i + F.lit(0.5)))
+    lower = F.aggregate(
+        F.sequence(F.lit(1), (F.floor(half) * 3 + 60).cast("int")), F.struct(F.lit(1.0).alias("s"), F.lit(1.0).alias("t")),
+        lambda acc, i: F.struct((acc["s"] + acc["t"] * half / (a + i)).alias("s"), (acc["t"] * half / (a + i)).alias("t")),
+        lambda acc: acc["s"])
+    odd = F.when(half > 600, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.lit(1.0) - lead * F.exp(-half) * lower))
+    return F.when(dof > 0, F.when(dof % 2 == 0, F.exp(-half) * series).otherwise(odd))
 
 
 def hosmer_lemeshow(scores: DataFrame, n_bins: int = 10, score: str = "score", label: str = "label") -> DataFrame:

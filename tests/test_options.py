@@ -53,3 +53,35 @@ def test_exact_stratified_split(spark):
     assert counts[(1, "test")] == int(n1 * 0.3 + 0.5) and counts[(0, "test")] == int(n0 * 0.3 + 0.5)
     again = monitoring.exact_stratified_split(df, "y").filter("split = 'test'").select("loan_id")
     assert sorted(r[0] for r in again.collect()) == sorted(r[0] for r in s.filter("split = 'test'").select("loan_id").collect())
+
+
+def test_hosmer_lemeshow_tail_of_odd_degrees(spark):
+    import math
+
+    from pyspark.sql import functions as F
+
+    def tail(x, k):  # Q(k/2, x/2) from erfc and the half-integer terms
+        h = x / 2
+        return math.erfc(math.sqrt(h)) + math.exp(-h) * sum(h ** (i - 0.5) / math.gamma(i + 0.5) for i in range(1, (k - 1) // 2 + 1))
+
+    cases = [(x, k) for k in (1, 3, 5, 7, 9, 15) for x in (0.0, 0.001, 0.5, 3.0, 11.25, 60.0, 900.0, 5000.0)]
+    rows = spark.createDataFrame(cases, "x double, k long").select("x", "k", monitoring._hl_tail(F.col("x"), F.col("k")).alias("p")).collect()
+    for r in rows:
+        assert r["p"] == pytest.approx(tail(r["x"], r["k"]), abs=1e-9), (r["x"], r["k"])
+
+
+@pytest.mark.parametrize("rows", [
+    [(i, 0.5, i % 3 == 0) for i in range(100)],                       # one score for all: the cut is inside the tie
+    [(i, (i % 7) / 7, i % 2) for i in range(95)],
+    [(i, None if i % 4 == 0 else i / 50, 1) for i in range(30)],       # rows without a score rank last
+    [(1, 0.2, 1)],
+])
+def test_top_fraction_equals_a_full_sort(spark, rows):
+    from riskloom.operators.metrics import top_fraction_capture
+    rows = [(k, s, int(y)) for k, s, y in rows]
+    ranked = sorted(rows, key=lambda r: (-(r[1] if r[1] is not None else -1), r[0]))
+    df = spark.createDataFrame(rows, "loan_id long, score double, label int").repartition(5)
+    for fraction in (0.1, 0.35, 1.0):
+        k = max(1, int(len(rows) * fraction))
+        got = top_fraction_capture(df, fraction).first()
+        assert (got["n_scored"], got["events"], got["captured"]) == (len(rows), sum(r[2] for r in rows), sum(r[2] for r in ranked[:k]))

@@ -38,7 +38,7 @@ def test_global_range_index(spark):
 
 def test_prefix_sums(spark):
     df = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "s long, one long, odd long")
-    out = {r["s"]: (r["one_cum"], r["odd_cum"]) for r in prefix_sums(df, [F.col("s").asc()], ["one", "odd"], num_partitions=5).collect()}
+    out = {r["s"]: (r["one_cum"], r["odd_cum"]) for r in prefix_sums(df, "s", ["one", "odd"], num_partitions=5).collect()}
     assert out[0] == (1, 0) and out[199] == (200, 100) and out[100] == (101, 50)
 
 
