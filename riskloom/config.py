@@ -93,8 +93,9 @@ class RiskConfig:
     scenarios: tuple = field(default=SCENARIOS)
     score_bands: tuple = field(default=SCORE_BANDS)
     # a key holding more rows than this is treated as hot by the
-    # per-key sequence operators (split off and ranked in range partitions)
-    hot_key_rows: int = 200_000
+    # per-key sequence operators (split off and ranked in range partitions);
+    # None: no key is hot (known from a check made before), so none is looked for
+    hot_key_rows: int | None = 200_000
     # upper bound on the number of hot keys we are willing to broadcast
     max_broadcast_keys: int = 100_000
 

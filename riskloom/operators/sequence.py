@@ -31,8 +31,11 @@ def hot_keys(df: DataFrame, key: str, cfg: RiskConfig = DEFAULT):
     Returns ``(hot_df, n_hot)`` or ``None`` when no key is hot. The hot set
     is at most total_rows / hot_key_rows keys; it is broadcast only when its
     counted size is under ``cfg.max_broadcast_keys``. The check is one
-    partial aggregate over the key column, made anew each time (files may have changed).
+    partial aggregate over the key column; a written mart makes it once and sets
+    ``hot_key_rows`` to None where no loan is hot.
     """
+    if cfg.hot_key_rows is None:
+        return None
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     hot = counts.filter(F.col("_rows") > cfg.hot_key_rows).select(key)
     n_hot = hot.count()
@@ -99,16 +102,18 @@ def with_prior(df: DataFrame, key: str, order_col: str, cols: dict[str, str],
     window; hot keys are indexed in range partitions and joined to the row
     one position earlier. With ``gap_months`` the prior values are NULL
     unless the previous observation is exactly that many months earlier
-    (calendar lag instead of prior observation).
+    (calendar lag instead of prior observation). Rows that repeat a (key, order) are
+    ordered by their other columns, so the prior row is the same on both paths.
     """
     want = dict(cols)
     if gap_months is not None:
         want[order_col] = "_prior_order"
     normal, hot = _split(df, key, cfg)
-    w = Window.partitionBy(key).orderBy(order_col)
+    order = [order_col, *[c for c in df.columns if c not in (key, order_col)]]
+    w = Window.partitionBy(key).orderBy(*order)
     out = normal.select("*", *[F.lag(src).over(w).alias(dst) for src, dst in want.items()])
     if hot is not None:
-        idx = range_index(hot, key, [order_col], "_seq")
+        idx = range_index(hot, key, order, "_seq")
         prev = idx.select(F.col(key).alias("_pk"), (F.col("_seq") + 1).alias("_pseq"),
                           *[F.col(src).alias(dst) for src, dst in want.items()])
         joined = idx.join(prev, (idx[key] == prev["_pk"]) & (idx["_seq"] == prev["_pseq"]), "left") \

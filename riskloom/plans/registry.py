@@ -1,8 +1,9 @@
 """Query registry: name -> callable(spark, sf_dir) -> DataFrame.
 
-Each query builds (or reuses) the loan mart for ``sf_dir``. By default the
-mart is a lazy plan over the driver tables; ``use_mart`` swaps in a
-materialised one (e.g. written once by the bench or the batch job).
+Queries of a session share one written mart per ``sf_dir``: the first one
+derives and writes it (``mart_store.materialize_tpch``), the others scan its
+tables. ``use_mart`` swaps in another mart (one from files, or a lazy plan);
+``forget_marts`` drops them, as after source files have been rewritten.
 """
 from __future__ import annotations
 
@@ -19,7 +20,8 @@ from ..operators import models as _models
 from ..operators.portfolio import behaviour_12m, scorecard_lgd
 from ..operators.scalars import one_row
 from ..session import checkpoint_dir
-from ..sources.tpch_mart import Mart, mart_from_tpch
+from ..sources.mart_store import materialize_tpch
+from ..sources.tpch_mart import Mart
 
 _MARTS: dict[tuple, Mart] = {}
 
@@ -35,7 +37,7 @@ def _key(spark: SparkSession, sf_dir: str) -> tuple:
 def get_mart(spark: SparkSession, sf_dir: str) -> Mart:
     k = _key(spark, sf_dir)
     if k not in _MARTS:
-        _MARTS[k] = mart_from_tpch(spark, sf_dir, DEFAULT)
+        _MARTS[k] = materialize_tpch(spark, sf_dir, DEFAULT)
     return _MARTS[k]
 
 
@@ -51,6 +53,11 @@ def _p(fn):
     return lambda spark, d: fn(get_mart(spark, d).fact_loan_monthly)
 
 
+def _pc(fn):
+    """Panel queries that look for hot loans unless the mart's cfg knows that there are none."""
+    return lambda spark, d: fn(get_mart(spark, d).fact_loan_monthly, get_mart(spark, d).cfg)
+
+
 def _pl(fn):
     return lambda spark, d: fn(get_mart(spark, d).fact_loan_monthly, get_mart(spark, d).dim_loan)
 
@@ -74,8 +81,8 @@ def _reconcile(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q1a_vintage_90plus": _pl(panel.vintage_90plus),
     "q1b_cumulative_bad": _pl(panel.cumulative_bad),
-    "q2a_roll_matrix": _p(panel.roll_matrix),
-    "q2b_forward_cure": _p(panel.forward_cure),
+    "q2a_roll_matrix": _pc(panel.roll_matrix),
+    "q2b_forward_cure": _pc(panel.forward_cure),
     "q3a_cohort_default": _pl(panel.cohort_default),
     "q3b_sector_index": _pl(panel.sector_default_index),
     "q4a_nco": _p(panel.net_charge_off),
@@ -86,8 +93,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q6a_sector_exposure": _e(exposure.sector_exposure),
     "q6b_hhi": _e(exposure.hhi_by_dimension),
     "q6c_single_name": _e(exposure.single_name),
-    "q7a_stage_matrix": _p(panel.stage_matrix),
-    "q7b_stage_drift": _p(panel.stage_drift),
+    "q7a_stage_matrix": _pc(panel.stage_matrix),
+    "q7b_stage_drift": _pc(panel.stage_drift),
     "q7c_stage_coverage": _e(exposure.stage_coverage),
     "q8a_watchlist": _ple(watchlist.watchlist),
     "q8b_watch_rollup": _ple(watchlist.watch_rollup),

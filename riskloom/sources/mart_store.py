@@ -2,19 +2,26 @@
 
 All mart tables share the same bucket count on ``loan_id``, so the panel,
 loan, portfolio and ECL tables join and window per loan without a shuffle.
-The panel is bucketed only when no loan is hot (see ``_bucket_panel``).
+The panel is bucketed only when no loan is hot: a bucketed scan reads each
+bucket in one task and AQE cannot split it; with a hot loan the panel is written plain, so per-loan plans
+shuffle and the skew handling (AQE skew join, hot-key split) can divide it. The
+check is made once, over the key column of the source; where no loan is hot the mart's ``cfg`` says so
+(``hot_key_rows`` None) and its queries don't look again.
 Files live under the session's shared checkpoint folder (external tables),
 so the lineage back to the raw tables is cut and survives executor loss.
 """
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, RiskConfig
+from ..operators.sequence import hot_keys
 from ..session import checkpoint_dir
-from .tpch_mart import Mart, dim_loan, fact_loan_monthly, panel_raw, scenario_frame
+from .tpch_mart import Mart, dim_loan, fact_loan_monthly, panel_raw, read_table, scenario_frame
 
 
 def _save(spark: SparkSession, df: DataFrame, base: str, tag: str, name: str, buckets: int,
@@ -30,47 +37,36 @@ def _save(spark: SparkSession, df: DataFrame, base: str, tag: str, name: str, bu
     return spark.table(table)
 
 
-def _bucket_panel(panel: DataFrame, cfg: RiskConfig) -> bool:
-    """Bucket the panel by loan only when no loan is hot.
+def _checked(rows: DataFrame, key: str, cfg: RiskConfig) -> tuple[RiskConfig, bool]:
+    """(cfg, whether no key of ``rows`` is hot); the cfg remembers that."""
+    if hot_keys(rows.select(key), key, cfg) is not None:
+        return cfg, False
+    return replace(cfg, hot_key_rows=None), True
 
-    A bucketed scan reads each bucket in one task and AQE cannot split it;
-    with a hot loan the panel is written plain, so per-loan plans shuffle
-    and the skew handling (AQE skew join, hot-key split) can divide it.
-    """
-    from ..operators.sequence import hot_keys
-    return hot_keys(panel, "loan_id", cfg) is None
 
-
-def materialize(mart: Mart, buckets: int | None = None) -> Mart:
-    """Write dim_loan, the panel, the portfolio and fact_ecl once; return a Mart over them."""
-    spark = mart.dim_loan.sparkSession
+def _write(spark: SparkSession, loans: DataFrame, panel_of: Callable[[DataFrame], DataFrame], scenarios: DataFrame, cfg: RiskConfig, bucketed: bool, buckets: int | None,
+           book: DataFrame | None = None, ecl: DataFrame | None = None) -> Mart:
+    """Write the four tables, each built from the ones already written where it isn't given."""
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tag = uuid.uuid4().hex[:10]
     base = f"{checkpoint_dir(spark).rstrip('/')}/riskloom-mart-{tag}"
-    dim = _save(spark, mart.dim_loan, base, tag, "dim_loan", n, ["loan_id"])
-    panel = _save(spark, mart.panel_raw, base, tag, "panel", n, ["loan_id", "snapshot_month"],
-                  bucketed=_bucket_panel(mart.panel_raw, mart.cfg))
-    staged = Mart(dim_loan=dim, fact_loan_monthly=fact_loan_monthly(panel), panel_raw=panel,
-                  dim_scenario=mart.dim_scenario, cfg=mart.cfg)
-    book = _save(spark, staged.portfolio, base, tag, "portfolio", n, ["loan_id"])
-    staged._portfolio = book
-    ecl = _save(spark, staged.fact_ecl, base, tag, "fact_ecl", n, ["loan_id"])
-    staged._fact_ecl = ecl
+    dim = _save(spark, loans, base, tag, "dim_loan", n, ["loan_id"])
+    panel = _save(spark, panel_of(dim), base, tag, "panel", n, ["loan_id", "snapshot_month"], bucketed=bucketed)
+    staged = Mart(dim_loan=dim, fact_loan_monthly=fact_loan_monthly(panel), panel_raw=panel, dim_scenario=scenarios, _portfolio=book, _fact_ecl=ecl, cfg=cfg)
+    staged._portfolio = _save(spark, staged.portfolio, base, tag, "portfolio", n, ["loan_id"])
+    staged._fact_ecl = _save(spark, staged.fact_ecl, base, tag, "fact_ecl", n, ["loan_id"])
     return staged
 
 
+def materialize(mart: Mart, buckets: int | None = None) -> Mart:
+    """Write dim_loan, the panel, the portfolio and fact_ecl once; return a Mart over them."""
+    cfg, bucketed = _checked(mart.panel_raw, "loan_id", mart.cfg)
+    return _write(mart.dim_loan.sparkSession, mart.dim_loan, lambda dim: mart.panel_raw, mart.dim_scenario, cfg, bucketed, buckets, mart._portfolio, mart._fact_ecl)
+
+
 def materialize_tpch(spark: SparkSession, sf_dir: str, cfg: RiskConfig = DEFAULT,
                      buckets: int | None = None) -> Mart:
     """Derive and write the mart from the driver tables, each table built from the
     ones already written (the panel joins the written, bucketed ``dim_loan``)."""
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tag = uuid.uuid4().hex[:10]
-    base = f"{checkpoint_dir(spark).rstrip('/')}/riskloom-mart-{tag}"
-    dim = _save(spark, dim_loan(spark, sf_dir), base, tag, "dim_loan", n, ["loan_id"])
-    raw = panel_raw(spark, sf_dir, dim, cfg)
-    panel = _save(spark, raw, base, tag, "panel", n, ["loan_id", "snapshot_month"], bucketed=_bucket_panel(raw, cfg))
-    staged = Mart(dim_loan=dim, fact_loan_monthly=fact_loan_monthly(panel), panel_raw=panel,
-                  dim_scenario=scenario_frame(spark, cfg), cfg=cfg)
-    staged._portfolio = _save(spark, staged.portfolio, base, tag, "portfolio", n, ["loan_id"])
-    staged._fact_ecl = _save(spark, staged.fact_ecl, base, tag, "fact_ecl", n, ["loan_id"])
-    return staged
+    cfg, bucketed = _checked(read_table(spark, sf_dir, "lineitem"), "l_orderkey", cfg)
+    return _write(spark, dim_loan(spark, sf_dir), lambda dim: panel_raw(spark, sf_dir, dim, cfg), scenario_frame(spark, cfg), cfg, bucketed, buckets)

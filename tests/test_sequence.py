@@ -43,9 +43,22 @@ def test_prefix_sums(spark):
 
 
 def test_hot_panel_is_written_unbucketed(spark, seed):
-    from riskloom.sources.mart_store import _bucket_panel
-    assert _bucket_panel(seed.panel_raw, RiskConfig()) is True
-    assert _bucket_panel(seed.panel_raw, RiskConfig(hot_key_rows=3)) is False  # loan 2 has 4 rows
+    from riskloom.sources.mart_store import _checked
+    assert _checked(seed.panel_raw, "loan_id", RiskConfig()) == (RiskConfig(hot_key_rows=None), True)
+    assert _checked(seed.panel_raw, "loan_id", RiskConfig(hot_key_rows=3)) == (RiskConfig(hot_key_rows=3), False)  # loan 2 has 4 rows
+
+
+def test_with_prior_repeated_months(spark):
+    """A hot key with repeated months: rows are ordered by month, then by their other columns."""
+    rows = [(1, m % 4, m * 7 % 13, str(m)) for m in range(40)] + [(2, 1, 5, "a"), (2, 1, 3, "b"), (2, 2, 9, "c")]
+    df = spark.createDataFrame(rows, "k long, m int, v long, w string")
+    want = []
+    for k in (1, 2):
+        mine = sorted(r for r in rows if r[0] == k)
+        want += [(*r, p[2] if p else None) for r, p in zip(mine, [None, *mine])]
+    for cfg in (RiskConfig(hot_key_rows=10), RiskConfig(hot_key_rows=None)):
+        got = [tuple(r) for r in with_prior(df.repartition(7), "k", "m", {"v": "prev"}, cfg).select("k", "m", "v", "w", "prev").collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
 
 
 def test_adapter_hot_path_gives_identical_panel(spark):
