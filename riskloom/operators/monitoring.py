@@ -35,9 +35,11 @@ def exact_stratified_split(df: DataFrame, label: str, key: str = "loan_id",
     from .sequence import range_index
     h = df.withColumn("_h", ((F.col(key) % 1000003) * 1103515245 + 12345) % 2147483648)
     ranked = range_index(h, label, ["_h", key], "_r")
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))  # one row per stratum
+    sizes = ranked.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))  # one row per stratum, from the pinned rows
+    if sizes.limit(10_001).count() <= 10_000:
+        sizes = F.broadcast(sizes)
     cut = F.floor(F.col("_n") * F.lit(float(test_share)) + F.lit(0.5))
-    out = ranked.join(F.broadcast(sizes), label)
+    out = ranked.join(sizes, label)
     return out.withColumn("split", F.when(F.col("_r") < cut, F.lit("test")).otherwise(F.lit("train"))) \
         .drop("_h", "_r", "_n")
 
