@@ -2,17 +2,22 @@
 
 Each pass orders the vectors lexicographically by 64 concatenated random
 hyperplane signs and compares every vector with the ``window`` rows after it.
-The number of passes follows the number of vectors, so that a pair exactly at
-the threshold meets in some window with probability ``recall`` at every size:
-such a pair agrees on one sign with probability 1 - angle/pi, and rows within a
-window agree on about log2(n / window) leading signs. Verified pairs of all
-passes are united; then each found component is compared whole, in blocks of
+The first passes follow the number of vectors: a pair at the threshold agrees on
+one sign with probability 1 - angle/pi, and where signs halve the rows, those within a
+window agree on about log2(n / window) leading signs. Vectors off the centre and dense
+topics share more, so every pass also measures each row: the signs it shares with the rows ``window``
+places on and back (a partner that shares more is in the window), and from the row's distances to those
+hyperplanes the probability that a partner at the threshold is on its side of all of them. Rows
+whose passes so far leave such a pair unmet with more than 1 - ``recall`` go through further
+passes among themselves, until none is left (a pair is safe if either row is). Rows in crowds that
+many passes would not part (near copies by the thousand) go on until a round unites nothing new.
+Verified pairs of all passes are united; then each found component is compared whole, in blocks of
 bounded size, so that links between its members that no window held are not
 lost either.
 
 Exact copies are one class with a multiplicity. A pass moves (pass, key, id)
 only to find positions, and each vector once to its block of ``block`` rows (plus
-the next ``window`` as a halo); blocks are equal in size whatever the data, and a
+``window`` before and after as a halo); blocks are equal in size whatever the data, and a
 task sends a spanning forest of its links, not the pairs.
 """
 from __future__ import annotations
@@ -30,15 +35,26 @@ from .components import connected_components
 from .vectors import matrix, valid_vectors
 
 
+#: normal distribution function, by interpolation
+GRID = np.linspace(-8, 8, 4097)
+NORMAL = np.array([0.5 * math.erfc(-z / math.sqrt(2)) for z in GRID])
+#: passes of one further round at most, and passes beyond which a row counts as in a crowd that signs don't part
+ROUND, CROWD = 32, 512
+
+
 def passes_needed(n: int, threshold: float, window: int, recall: float) -> int:
-    """Passes after which a pair at the threshold has met with probability ``recall``."""
+    """Passes after which a pair at the threshold has met with probability ``recall``, if every sign halves the rows."""
     agree = 1 - math.acos(min(1.0, threshold)) / math.pi
     meet = agree ** max(0.0, math.log2(max(1.0, n / window)))
     return 1 if meet >= recall else math.ceil(math.log(1 - recall) / math.log(1 - meet))
 
 
-def _keys(passes: int, seed: int):
-    """(pass, key, cid) rows: the 64 signs of each pass as one ordered long."""
+def _planes(seed: int, p: int, d: int) -> np.ndarray:
+    return np.random.default_rng([seed, p, d]).standard_normal((d, 64))
+
+
+def _keys(first: int, passes: int, seed: int):
+    """(pass, key, cid) rows of passes from ``first``: the 64 signs of each pass as one ordered long."""
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lists = b.column(1)
@@ -47,9 +63,8 @@ def _keys(passes: int, seed: int):
                 rows = np.flatnonzero(sizes == d)
                 x = matrix(pa.chunked_array([lists.take(pa.array(rows))]))
                 cid = b.column(0).to_numpy()[rows]
-                for p in range(passes):
-                    plane = np.random.default_rng([seed, p, int(d)]).standard_normal((int(d), 64))
-                    signs = np.packbits(x @ plane > 0, axis=1)  # first sign = highest bit
+                for p in range(first, first + passes):
+                    signs = np.packbits(x @ _planes(seed, p, int(d)) > 0, axis=1)  # first sign = highest bit
                     key = signs.view(">u8").ravel().astype(np.uint64) ^ np.uint64(1 << 63)  # unsigned order as signed
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), p, np.int32)), pa.array(key.view(np.int64)), pa.array(cid)], names=["p", "key", "cid"])
     return fn
@@ -67,31 +82,59 @@ def _units(tab: pa.Table, at: int, to: int) -> Iterator[tuple[np.ndarray, np.nda
         yield rows + at, x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _window_links(threshold: float, window: int, step: int = 256):
-    """Star edges (a, b) of the links within windows of each (p, blk) run, rows in order of pos."""
+def _unmet(x: np.ndarray, planes: np.ndarray, threshold: float, window: int, starts: bool, ends: bool) -> np.ndarray:
+    """Per row of ``x`` (unit vectors in key order), the log probability that a partner at the threshold is in no window of this pass.
+
+    A partner whose first other sign comes after those shared with the row ``window`` places on (or back, by the
+    side it falls to) is in the window. ``starts``, ``ends``: the pass has no row before the first, after the last one.
+    """
+    n, d = x.shape
+    side = x @ planes
+    high = side > 0
+
+    def shared(rows: np.ndarray, open_at: np.ndarray) -> np.ndarray:
+        differ = high != high[rows]
+        return np.where(open_at, -1, np.where(differ.any(axis=1), differ.argmax(axis=1), 64))[:, None]
+
+    i = np.arange(n)
+    above = shared(np.minimum(i + window, n - 1), ends & (i + window >= n))
+    below = shared(np.maximum(i - window, 0), starts & (i < window))
+    # a partner at angle a is cos(a) * row + sin(a) * (a direction across the row)
+    across = np.sqrt(np.maximum((planes * planes).sum(axis=0) - side * side, 1e-12) / max(d - 1, 1))
+    same = np.interp(np.abs(side) * (threshold / math.sqrt(max(1e-12, 1 - threshold * threshold))) / across, GRID, NORMAL)
+    agree = np.cumprod(same, axis=1)
+    first = np.concatenate((np.ones((n, 1)), agree[:, :-1]), axis=1) * (1 - same)      # the first other sign is this one
+    meet = (first * (np.arange(64) > np.where(high, below, above))).sum(axis=1) + agree[:, -1] * (np.maximum(above, below)[:, 0] < 64)
+    return np.log(np.maximum(1 - meet, 1e-12))
+
+
+def _window_links(threshold: float, window: int, block: int, n: int, seed: int, step: int = 256):
+    """(a, b, null): star edges of the links within windows of each (p, blk) run, rows in order of pos; (a, null, unmet): see ``_unmet``."""
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tab in runs(batches, ["p", "blk"], 1 << 12):
             bounds = group_bounds(tab, ["p", "blk"])
-            cid = tab.column("cid").to_numpy()
+            cid, pos, blk, p = (tab.column(c).to_numpy() for c in ("cid", "pos", "blk", "p"))
             label = np.arange(len(cid))
+            unmet = np.zeros(len(cid))
             for at, to in zip(bounds, bounds[1:]):
                 for rows, x in _units(tab, int(at), int(to)):
-                    for s in range(0, len(x), step):
+                    unmet[rows] = _unmet(x, _planes(seed, int(p[at]), x.shape[1]), threshold, window, pos[at] == 0, pos[to - 1] == n - 1)
+                    for s in range(int((pos[rows] // block < blk[at]).sum()), len(x), step):    # links from the halo before are found in its own block
                         e = min(s + step, len(x))
                         i, j = np.nonzero(x[s:e] @ x[s: e + window].T >= threshold)
                         near = (j > i) & (j - i <= window)
                         union_min(label, rows[i[near] + s], rows[j[near] + s])
             hung = np.flatnonzero(label != np.arange(len(cid)))
-            if len(hung):
-                yield pa.RecordBatch.from_arrays([pa.array(cid[hung]), pa.array(cid[label[hung]])], names=["a", "b"])
+            home = np.flatnonzero(pos // block == blk)         # not the halo
+            for a, b, u in ((cid[hung], pa.array(cid[label[hung]]), pa.nulls(len(hung), pa.float64())), (cid[home], pa.nulls(len(home), pa.int64()), pa.array(unmet[home]))):
+                yield pa.RecordBatch.from_arrays([pa.array(a), b, u], names=["a", "b", "unmet"])
     return fn
 
 
-def window_links(classes: DataFrame, n: int, threshold: float, window: int, block: int, recall: float, seed: int) -> DataFrame:
-    """Edges (a, b) between class ids found in the windows of all passes."""
+def window_links(classes: DataFrame, n: int, first: int, passes: int, threshold: float, window: int, block: int, seed: int) -> DataFrame:
+    """(a, b, unmet), written: edges between class ids found in the windows of ``passes`` passes from number ``first``, and each row's measure in each."""
     spark = classes.sparkSession
-    passes = passes_needed(n, threshold, window, recall)
-    keyed = arrow_map(classes.select("cid", "vec"), _keys(passes, seed), "p int, key long, cid long")
+    keyed = arrow_map(classes.select("cid", "vec"), _keys(first, passes, seed), "p int, key long, cid long")
     placed = (
         keyed.repartitionByRange("p", "key", "cid").sortWithinPartitions("p", "key", "cid")
         .withColumn("at", F.monotonically_increasing_id())
@@ -107,10 +150,41 @@ def window_links(classes: DataFrame, n: int, threshold: float, window: int, bloc
     table = spark.createDataFrame(offsets, "part long, p int, shift long")
     pos = placed.join(F.broadcast(table), ["part", "p"]).select("p", "cid", (F.col("at") + F.col("shift")).alias("pos"))
     home = F.floor(F.col("pos") / block)
-    blocks = F.when((F.col("pos") % block < window) & (home > 0), F.array(home, home - 1)).otherwise(F.array(home))
+    within = F.col("pos") % block
+    blocks = F.array_compact(F.array(home, F.when((within < window) & (home > 0), home - 1), F.when((within >= block - window) & ((home + 1) * block < n), home + 1)))
     dealt = pos.select("p", "cid", "pos", F.explode(blocks).alias("blk")).join(classes.select("cid", "vec"), "cid")
     dealt = dealt.select("p", "blk", "pos", "cid", "vec").repartition("p", "blk").sortWithinPartitions("p", "blk", "pos")
-    return arrow_map(dealt, _window_links(threshold, window), "a long, b long")
+    return write_table(arrow_map(dealt, _window_links(threshold, window, block, n, seed), "a long, b long, unmet double"), "window-links")
+
+
+def all_links(classes: DataFrame, n: int, threshold: float, window: int, block: int, recall: float, seed: int) -> DataFrame:
+    """(node, component) of the links of all passes, with further passes for the rows that the measured ones do not cover."""
+    aim = math.log(1 - recall)
+    passes, done = passes_needed(n, threshold, window, recall), 0
+    links, before, joined = None, None, None        # ``before``: (cid, unmet) of the passes before; ``joined``: classes hung on another
+    while True:
+        found = window_links(classes, n, done, passes, threshold, window, block, seed)
+        done += passes
+        edges = found.where(F.col("b").isNotNull()).select("a", "b")
+        links = edges if links is None else links.unionByName(edges)
+        unmet = found.where(F.col("b").isNull()).select(F.col("a").alias("cid"), "unmet")
+        unmet = unmet if before is None else unmet.unionByName(before)
+        open_rows = unmet.groupBy("cid").agg(F.sum("unmet").alias("unmet")).where(F.col("unmet") > aim)
+        before = write_table(open_rows, "unmet")
+        # passes that a row still needs at the rate measured so far
+        need = F.ceil((F.lit(aim) - F.col("unmet")) / (F.least("unmet", F.lit(-1e-9)) / done))
+        part = F.col("unmet") <= aim * done / CROWD
+        left, apart, more = before.agg(F.count(F.lit(1)), F.count(F.when(part, 1)), F.percentile_approx(F.when(part, need), 0.9)).first()
+        if left < 2:
+            return connected_components(links)
+        if not apart:
+            components = connected_components(links)
+            now = components.count()
+            if now == joined:
+                return components
+            joined = now
+        passes = max(1, min(ROUND, int(more or passes_needed(left, threshold, window, recall))))
+        classes, n = write_table(classes.join(before.select("cid"), "cid", "left_semi"), "open-vectors"), left
 
 
 def _cell_degrees(threshold: float, step: int = 512):
@@ -174,7 +248,7 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str =
     classes = write_table(valid.groupBy("vec").agg(F.min("id").alias("cid"), F.count(F.lit(1)).alias("mult")), "vector-classes")
     ids = df.select(F.col(id_col).cast("long").alias("id"))
     n = classes.count()
-    links = connected_components(window_links(classes, n, threshold, window, block, recall, seed)) if n else None
+    links = all_links(classes, n, threshold, window, block, recall, seed) if n else None
     if links is None:
         return ids.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     roots = links.select("component").distinct().select(F.col("component").alias("cid"), "component")
