@@ -22,33 +22,47 @@ TOXICITY_THRESHOLD = 0.5
 QUALITY_THRESHOLD = 0.3
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the ids of ``rejected`` (a row without an id can't be named and stays)."""
-    gone = write_table(rejected.select("doc_id").where(F.col("doc_id").isNotNull()).distinct(), "rejected")
-    return docs.join(bounded_hint(gone), "doc_id", "left_anti").select(*docs.columns)
+#: name of the key that a stage gives each of its rows
+ROW = "_pipeline_row"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of its own for each row, written once so that it stays the same wherever it is read."""
+    return write_table(docs.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
+
+
+def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose keys are not in ``rejected``, without the key."""
+    gone = write_table(rejected.select(ROW), "rejected")
+    return keyed.join(bounded_hint(gone), ROW, "left_anti").drop(ROW)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the toxicity threshold."""
     model = fit_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return _without(docs, toxicity_scores(docs, model).where(F.col("score") >= TOXICITY_THRESHOLD))
+    keyed = _keyed(docs)
+    return _without(keyed, toxicity_scores(keyed, model, id_col=ROW).where(F.col("score") >= TOXICITY_THRESHOLD))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score at least the quality threshold."""
     weights = fit_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return _without(docs, quality_scores(docs, weights).where(F.col("score") < QUALITY_THRESHOLD))
+    keyed = _keyed(docs)
+    return _without(keyed, quality_scores(keyed, weights, id_col=ROW).where(F.col("score") < QUALITY_THRESHOLD))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id (rows repeated with that id: one)."""
-    groups = write_table(simhash_groups(docs, shingle=3, radius=3), "simhash-groups")
-    repeated = write_table(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated-ids")
-    kept = _without(docs, groups.where(F.col("doc_id") != F.col("component_id")))
-    if not repeated.limit(1).count():
-        return kept
-    again = kept.join(bounded_hint(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return _without(kept, repeated).unionByName(again)
+    """One row of each group of near copies: that with the smallest id (nulls last), fingerprint and text hash.
+
+    A row with neither id nor text is a copy of nothing and stays.
+    """
+    keyed = _keyed(docs)
+    groups = simhash_groups(keyed, id_col=ROW, shingle=3, radius=3)
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "fp", F.xxhash64("text").alias("text"), ROW)
+    marks = keyed.select(ROW, "doc_id", "text").join(groups.select(ROW, "fp", F.col("component_id").alias("of")), ROW)
+    marks = write_table(marks.select(ROW, "of", rank.alias("rank"), (F.col("doc_id").isNull() & F.col("text").isNull()).alias("empty")), "simhash-groups")
+    firsts = marks.groupBy("of").agg(F.min("rank").alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
+    return _without(keyed, marks.where(~F.col("empty")).join(firsts, ROW, "left_anti"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

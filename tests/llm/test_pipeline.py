@@ -37,3 +37,20 @@ def test_odd_rows(spark, tmp_path):
     kept = C.simhash_stage(spark, docs.withColumn("component_id", F.lit("clash")), str(tmp_path))
     assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, [(1, "a b c d"), (3, None), (None, "x y z w"), (None, None)]))
     assert C.run(spark, str(tmp_path)).count() > 0
+
+
+def test_rows_are_rejected_by_row(spark, tmp_path, monkeypatch):
+    for name, schema in (("documents", "doc_id long, text string"), ("labels", "doc_id long, quality int, toxic int")):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    rows = lambda df: sorted(map(str, ((r["doc_id"], r["text"]) for r in df.collect())))
+    frame = lambda x: spark.createDataFrame(x, "doc_id long, text string")
+    x, y = "one two three four five six", "quite another text that stands alone here"
+    # different texts under one id
+    assert rows(C.simhash_stage(spark, frame([(5, x), (5, y), (2, y)]), str(tmp_path))) == sorted(map(str, [(5, x), (2, y)]))
+    # copies under null ids
+    assert rows(C.simhash_stage(spark, frame([(None, x), (None, x), (None, y), (7, y)]), str(tmp_path))) == sorted(map(str, [(None, x), (7, y)]))
+    bad = lambda good, low: lambda docs, model, id_col="doc_id": docs.select(id_col, F.when(F.col("text") == y, low).otherwise(good).alias("score"))
+    for stage, fit, score, values in ((C.toxicity_stage, "fit_toxicity", "toxicity_scores", (0.0, 1.0)), (C.quality_stage, "fit_quality", "quality_scores", (1.0, 0.0))):
+        monkeypatch.setattr(C, fit, lambda *a: None)
+        monkeypatch.setattr(C, score, bad(*values))
+        assert rows(stage(spark, frame([(5, x), (5, y), (None, y), (None, x), (6, y)]), str(tmp_path))) == sorted(map(str, [(5, x), (None, x)]))
