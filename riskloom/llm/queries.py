@@ -10,6 +10,7 @@ import corpus_pipeline
 
 from .common import held_out, scratch_path, table, write_table
 from .html_main import main_text
+from .line_dedup import apply_bitmaps, line_bitmaps
 from .multi_index import nearest
 from .packing import pack_best_fit
 from .projection_dedup import near_duplicate_vectors
@@ -130,6 +131,32 @@ def op10b_piece_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces(spark, sf_dir, "merge")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    kept = apply_bitmaps(docs, line_bitmaps(docs, min_docs=10, min_chars=1))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS n, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines,
+         sha256(coalesce(text, '')) AS h FROM documents
+), l AS (
+  SELECT n, doc_id, h, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d
+), k AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), hot AS (
+  SELECT key FROM (SELECT DISTINCT key, doc_id, h FROM k WHERE key <> '') GROUP BY key HAVING count(*) >= 10
+), m AS (
+  SELECT k.*, hot.key IS NOT NULL AS gone FROM k LEFT JOIN hot USING (key)
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY n
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_warc": op1_warc,
@@ -143,6 +170,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_piece_viterbi": op10_piece_viterbi,
     "op10b_piece_merge": op10b_piece_merge,
+    "op11_line_dedup": op11_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op11_line_dedup": OP11_SQL}
