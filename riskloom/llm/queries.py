@@ -11,6 +11,7 @@ import corpus_pipeline
 from .common import held_out, scratch_path, table, write_table
 from .html_main import main_text
 from .line_dedup import apply_bitmaps, line_bitmaps
+from .merkle import build_manifest, lowered_where, verify_rows
 from .multi_index import nearest
 from .packing import pack_best_fit
 from .projection_dedup import near_duplicate_vectors
@@ -157,6 +158,60 @@ FROM m GROUP BY n
 """
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.coalesce(held_out(F.col("doc_id")), F.lit(False))      # crc32(decimal doc_id) divisible by 5
+    return verify_rows(spark, build_manifest(table(spark, sf_dir, "documents"), lowered_where(tampered)))
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 (unsigned) of an ASCII text."""
+    return f"""xor(list_reduce(list_transform(range(1, strlen({text}) + 1), lambda i: CAST(ord(substr({text}, i, 1)) AS BIGINT)),
+        lambda c, b: list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)),
+        4294967295), 4294967295)"""
+
+
+def _merkle_sql(levels: int = 6) -> str:
+    """The trees level by level, each from the one below: whole for up to 16 ** levels rows in a source, and as many sources."""
+    def field(c: str) -> str:
+        return f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c}, '-')"
+
+    def tree(t: str) -> list[str]:
+        """{t}0(g, p, d) to nodes of each level, and the runs' digests joined."""
+        out = []
+        for k in range(levels):
+            out.append(f"{t}r{k} AS (SELECT g, p // 16 AS p, string_agg(d, '' ORDER BY p) AS run, max(c) AS c FROM {t}{k} GROUP BY ALL)")
+            out.append(f"{t}{k + 1} AS (SELECT g, p, CASE WHEN c > 1 THEN sha256(run) ELSE run END AS d, count(*) OVER (PARTITION BY g) AS c FROM {t}r{k})")
+        return out
+
+    def walk(t: str, start: str) -> list[str]:
+        """{t}w0 = start(id, g, p, proof, f) up to the root: siblings appended, f folded."""
+        out = [f"{t}w0 AS ({start})"]
+        for k in range(levels):
+            left, right = "left(r.run, CAST(64 * (w.p % 16) AS BIGINT))", "substr(r.run, CAST(64 * (w.p % 16) + 65 AS BIGINT))"
+            out.append(f"""{t}w{k + 1} AS (SELECT w.id, w.g, w.p // 16 AS p, CASE WHEN r.c > 1 THEN w.proof || {left} || {right} ELSE w.proof END AS proof,
+                CASE WHEN r.c > 1 THEN sha256({left} || w.f || {right}) ELSE w.f END AS f FROM {t}w{k} w JOIN {t}r{k} r ON r.g = w.g AND r.p = w.p // 16)""")
+        return out
+
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = _crc32_sql("CAST(doc_id AS VARCHAR)")
+    parts = [
+        f"t AS (SELECT *, sha256({head} || {field('text')}) AS leaf, row_number() OVER () AS id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g FROM documents)",
+        f"u AS (SELECT *, CASE WHEN coalesce({crc} % 5 = 0, false) THEN sha256({head} || {field(lowered)}) ELSE leaf END AS changed FROM t)",
+        "v AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, id) - 1 AS p FROM u)",
+        "s0 AS (SELECT g, p, leaf AS d, count(*) OVER (PARTITION BY g) AS c FROM v)", *tree("s"),
+        f"h0 AS (SELECT 0 AS g, g AS p, d, count(*) OVER () AS c FROM s{levels})", *tree("h"),
+        *walk("s", "SELECT id, g, p, '' AS proof, changed AS f FROM v"),
+        *walk("h", f"SELECT id, 0 AS g, g AS p, proof, f FROM sw{levels}"),
+    ]
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT v.doc_id, v.leaf, s.d AS subroot, h.d AS root, sha256(w.proof) AS proof_sha256, w.f AS folded_root, w.f = h.d AS verified
+FROM v JOIN hw{levels} w USING (id) JOIN s{levels} s ON s.g = v.g JOIN h{levels} h ON true"""
+
+
+OP12_SQL = _merkle_sql()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_warc": op1_warc,
@@ -171,6 +226,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_piece_viterbi": op10_piece_viterbi,
     "op10b_piece_merge": op10b_piece_merge,
     "op11_line_dedup": op11_line_dedup,
+    "op12_merkle": op12_merkle,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op11_line_dedup": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op11_line_dedup": OP11_SQL, "op12_merkle": OP12_SQL}
