@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from .common import held_out, scratch_path, table, write_table
+from .conversation import damaged, decide_repairs, repair_digests
 from .html_main import main_text
 from .line_dedup import apply_bitmaps, line_bitmaps
 from .merkle import build_manifest, lowered_where, verify_rows
@@ -212,6 +213,68 @@ FROM v JOIN hw{levels} w USING (id) JOIN s{levels} s ON s.g = v.g JOIN h{levels}
 OP12_SQL = _merkle_sql()
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(table(spark, sf_dir, "conversations"))
+    return repair_digests(rows, decide_repairs(rows, "absent"), "absent")
+
+
+# row by row, the best (cost, audit) for each last role: state 0 nothing, 1 system, 2 user, 3 assistant
+OP13_SQL = r"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS r, coalesce(text, ' ') AS t,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+), h AS (
+  SELECT *, """ + _crc32_sql("k") + r""" % 20 AS hit FROM c
+), damage AS (
+  SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE r END AS role,
+         CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(t, '[.!?]', '', 'g') ELSE t END AS text
+  FROM h, (VALUES (0), (1)) v(again) WHERE hit <> 0 AND (again = 0 OR hit = 3)
+), seen AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth,
+         rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM damage
+), rows AS (
+  SELECT *, left(role, 1) AS ini, CASE WHEN bare = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         row_number() OVER w AS i, lag(left(role, 1)) OVER w AS before
+  FROM seen WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), nth)
+), convs AS (
+  SELECT g.conv_id, g.g, count(rows.i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE i > 1 AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT conv_id, row_number() OVER () AS g FROM (SELECT DISTINCT conv_id FROM conversations)) g
+  LEFT JOIN rows ON rows.conv_id IS NOT DISTINCT FROM g.conv_id GROUP BY ALL
+), ins(st, mid, ia, ic, it) AS (
+  VALUES (0, 0, '', 0, ''), (0, 2, 'I', 3, 'user:' || chr(10)), (0, 3, 'II', 6, 'user:' || chr(10) || 'assistant:' || chr(10)),
+         (1, 1, '', 0, ''), (1, 2, 'I', 3, 'user:' || chr(10)), (1, 3, 'II', 6, 'user:' || chr(10) || 'assistant:' || chr(10)),
+         (2, 2, '', 0, ''), (2, 3, 'I', 3, 'assistant:' || chr(10)), (2, 2, 'II', 6, 'assistant:' || chr(10) || 'user:' || chr(10)),
+         (3, 3, '', 0, ''), (3, 2, 'I', 3, 'user:' || chr(10)), (3, 3, 'II', 6, 'user:' || chr(10) || 'assistant:' || chr(10))
+), x AS (
+  SELECT g.g, i, ini, role, text, fault IN ('blank', 'duplicate') AS must, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS cut
+  FROM rows JOIN convs g ON rows.conv_id IS NOT DISTINCT FROM g.conv_id
+), moves AS (
+  SELECT g, i, 'D' AS a, 4 AS c, s AS mid, s AS st, '' AS t FROM x, range(4) v(s)
+  UNION ALL SELECT g, i, 'K', cut, mid, st, role || ':' || text || chr(10) FROM x, (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)) k(ini, mid, st)
+    WHERE NOT must AND x.ini = k.ini
+  UNION ALL SELECT g, i, 'R', 3 + cut, mid, st, (CASE st WHEN 2 THEN 'user:' ELSE 'assistant:' END) || text || chr(10) FROM x, (VALUES (0, 2), (1, 2), (3, 2), (2, 3)) k(mid, st)
+    WHERE NOT must
+), search AS (
+  SELECT g, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS st, CAST(0 AS BIGINT) AS cost, '' AS audit, '' AS out FROM convs
+  UNION ALL
+  SELECT g, i, st, cost, audit, out FROM (
+    SELECT m.g, m.i, CAST(m.st AS BIGINT) AS st, s.cost + ic + m.c AS cost, s.audit || ia || m.a AS audit, s.out || it || m.t AS out,
+           row_number() OVER (PARTITION BY m.g, m.st ORDER BY s.cost + ic + m.c, s.audit || ia || m.a) AS best
+    FROM search s JOIN ins ON ins.st = s.st JOIN moves m ON m.g = s.g AND m.i = s.i + 1 AND m.mid = ins.mid
+  ) WHERE best = 1
+), done AS (
+  SELECT s.g, s.cost + ic AS cost, s.audit || ia AS audit, s.out || it AS out,
+         row_number() OVER (PARTITION BY s.g ORDER BY s.cost + ic, s.audit || ia) AS best
+  FROM search s JOIN convs USING (g) JOIN ins ON ins.st = s.st WHERE s.i = convs.n AND ins.mid IN (0, 3)
+)
+SELECT conv_id, CAST(gaps AS BIGINT) AS gaps, blank, duplicate, truncated, illegal, CAST(cost AS BIGINT) AS cost, audit,
+       sha256(left(out, greatest(length(out) - 1, 0))) AS repaired_sha256
+FROM done JOIN convs USING (g) WHERE best = 1
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_warc": op1_warc,
@@ -227,6 +290,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10b_piece_merge": op10b_piece_merge,
     "op11_line_dedup": op11_line_dedup,
     "op12_merkle": op12_merkle,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op11_line_dedup": OP11_SQL, "op12_merkle": OP12_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op11_line_dedup": OP11_SQL, "op12_merkle": OP12_SQL, "op13_conversation_repair": OP13_SQL}
