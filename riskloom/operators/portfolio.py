@@ -22,13 +22,14 @@ def _sector_map(values: dict) -> Column:
     return expr.otherwise(F.lit(0.0))
 
 
-def behaviour_12m(panel: DataFrame, dpd_col: str = "dpd") -> DataFrame:
+def behaviour_12m(panel: DataFrame, dpd_col: str = "dpd", ages: DataFrame | None = None) -> DataFrame:
     """Per-loan summary of the last 12 observations.
 
     loan_id, as_of_date, loan_age_months (all observations), max_dpd_12m,
     avg_dpd_12m, missed_payments_12m (DPD > 5), avg/max_utilization_12m,
     utilization_trend (mean of last 3 minus mean of first 3, fraction),
-    current_dpd and utilization (latest observation).
+    current_dpd and utilization (latest observation). With ``ages`` (loan_id,
+    loan_age_months) the panel need only hold each loan's last 12 observations.
     """
     base = panel.select("loan_id", "snapshot_month", F.col(dpd_col).alias("_dpd"),
                         F.col("utilization").cast("double").alias("_util"))
@@ -48,8 +49,9 @@ def behaviour_12m(panel: DataFrame, dpd_col: str = "dpd") -> DataFrame:
         F.max(F.when(F.col("_rd") == 1, F.col("_dpd"))).cast("int").alias("current_dpd"),
         F.max(F.when(F.col("_rd") == 1, F.col("_util"))).alias("utilization"),
     )
-    age = base.groupBy("loan_id").agg(F.count(F.lit(1)).cast("int").alias("loan_age_months"))
-    return summary.join(age, "loan_id")
+    if ages is None:
+        ages = base.groupBy("loan_id").agg(F.count(F.lit(1)).cast("int").alias("loan_age_months"))
+    return summary.join(ages, "loan_id")
 
 
 # --- fixed values (must match the reference model): EAD, PD and LGD scorecards ----
@@ -98,14 +100,14 @@ def scorecard_lgd() -> Column:
     return F.round(lgd_mean(), 6)
 
 
-def build_portfolio(dim_loan: DataFrame, panel: DataFrame) -> DataFrame:
+def build_portfolio(dim_loan: DataFrame, panel: DataFrame, ages: DataFrame | None = None) -> DataFrame:
     """One row per loan with observations (loans without any are dropped).
 
     ``default_flag`` draws from a loan-id hash against the scorecard PD, so
     the models have a signal; realised ``lgd`` is the scorecard LGD plus an
     id-based offset, NULL unless defaulted.
     """
-    beh = behaviour_12m(panel, "dpd_raw" if "dpd_raw" in panel.columns else "dpd")
+    beh = behaviour_12m(panel, "dpd_raw" if "dpd_raw" in panel.columns else "dpd", ages)
     loans = dim_loan.select(
         "loan_id", "sector", "region", "credit_score",
         F.col("dti").cast("double").alias("dti"),

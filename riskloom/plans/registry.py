@@ -21,7 +21,7 @@ from ..operators.portfolio import behaviour_12m, scorecard_lgd
 from ..operators.scalars import one_row
 from ..session import checkpoint_dir
 from ..sources.mart_store import materialize_tpch
-from ..sources.tpch_mart import Mart
+from ..sources.tpch_mart import Mart, fact_loan_monthly
 
 _MARTS: dict[tuple, Mart] = {}
 
@@ -62,15 +62,13 @@ def _pl(fn):
     return lambda spark, d: fn(get_mart(spark, d).fact_loan_monthly, get_mart(spark, d).dim_loan)
 
 
-def _e(fn):
-    return lambda spark, d: fn(get_mart(spark, d).fact_ecl)
+def _recent(fn, k, used=False):
+    """Queries over each loan's last k observations: the panel without older periods."""
+    return lambda spark, d: fn(fact_loan_monthly(get_mart(spark, d).recent(k, used)), get_mart(spark, d))
 
 
-def _ple(fn):
-    def run(spark, d):
-        m = get_mart(spark, d)
-        return fn(m.fact_loan_monthly, m.dim_loan, m.fact_ecl)
-    return run
+def _e(fn):
+    return lambda spark, d: fn(get_mart(spark, d).fact_ecl)
 
 
 def _reconcile(spark, d):
@@ -89,15 +87,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q4b_loss_curve": _pl(panel.loss_curve),
     "q4c_realised_lgd": _pl(panel.realised_lgd),
     "q5a_util_trend": _p(panel.utilization_trend),
-    "q5b_util_jump": _pl(panel.utilization_jump),
+    "q5b_util_jump": _recent(lambda p, m: panel.utilization_jump(p, m.dim_loan), 4, used=True),
     "q6a_sector_exposure": _e(exposure.sector_exposure),
     "q6b_hhi": _e(exposure.hhi_by_dimension),
     "q6c_single_name": _e(exposure.single_name),
     "q7a_stage_matrix": _pc(panel.stage_matrix),
     "q7b_stage_drift": _pc(panel.stage_drift),
     "q7c_stage_coverage": _e(exposure.stage_coverage),
-    "q8a_watchlist": _ple(watchlist.watchlist),
-    "q8b_watch_rollup": _ple(watchlist.watch_rollup),
+    "q8a_watchlist": _recent(lambda p, m: watchlist.watchlist(p, m.dim_loan, m.fact_ecl), 6),
+    "q8b_watch_rollup": _recent(lambda p, m: watchlist.watch_rollup(p, m.dim_loan, m.fact_ecl), 1),
     "q9a_allowance": _e(exposure.allowance),
     "q9b_stage_sector": _e(exposure.stage_sector),
     "q9c_reconcile": _reconcile,
@@ -173,7 +171,7 @@ def _sel(fn, *cols):
 
 _MORE = {
     "s9_fact_ecl": lambda spark, d: get_mart(spark, d).fact_ecl,
-    "s10_behaviour_12m": lambda spark, d: behaviour_12m(get_mart(spark, d).panel_raw, "dpd_raw"),
+    "s10_behaviour_12m": lambda spark, d: behaviour_12m(get_mart(spark, d).recent(12), "dpd_raw", get_mart(spark, d).loan_index),
     "s11_ead": _sel(_book, "loan_id", "loan_amount", "loan_age_months", "term_months", "utilization", "ead"),
     "s12_pd_scorecard": _sel(_book, "loan_id", "sector", "true_pd", "default_flag"),
     "s13_lgd_scorecard": _lgd_scorecard,

@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..schemas import DIM_LOAN, DIM_SCENARIO, FACT_ECL, FACT_LOAN_MONTHLY
 
@@ -17,10 +16,9 @@ def read_mart_csv(spark: SparkSession, table: str, path: str) -> DataFrame:
 
 
 def read_mart_parquet(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """Read a mart table written as parquet, projected to its declared columns and types."""
+    """Read a mart table written as parquet with its declared columns and types (nothing is inferred; other columns are not read)."""
     schema = MART_SCHEMAS[table]
-    df = spark.read.parquet(path)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def save_table(df: DataFrame, out_dir: str, name: str, fmt: str = "parquet",

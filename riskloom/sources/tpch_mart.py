@@ -148,12 +148,36 @@ class Mart:
     _portfolio: DataFrame | None = None
     _fact_ecl: DataFrame | None = None
     cfg: RiskConfig = DEFAULT
+    # indexes of a written panel (see ``mart_store``): periods with the depth of their rows, observations per loan
+    periods: DataFrame | None = None
+    loan_index: DataFrame | None = None
+
+    def recent(self, k: int, used: bool = False) -> DataFrame:
+        """The raw panel without the periods that hold none of a loan's last ``k`` observations (``used``: of those with a utilisation).
+
+        More rows than those k may come back, never fewer. On a written panel the periods
+        to read are found at run time (a semi join on the partition column); else this is the whole panel.
+        """
+        if self.periods is None:
+            return self.panel_raw
+        near = self.periods.where(F.col("depth_util" if used else "depth") <= k).select("period")
+        return self.panel_raw.join(F.broadcast(near), "period", "left_semi")   # one row per period
+
+    def between_months(self, first, last) -> DataFrame:
+        """The panel's rows with ``snapshot_month`` from ``first`` to ``last`` (dates), read from the periods they fall in."""
+        rows = self.panel_raw
+        if "period" in rows.columns and self.periods is not None:
+            from .mart_store import month_number
+            # the period that the first month falls in starts at or before it
+            starts = self.periods.where(F.col("period") <= month_number(F.lit(first))).agg(F.max("period").alias("p")).scalar()
+            rows = rows.where((F.col("period") >= F.coalesce(starts, F.lit(0))) & (F.col("period") <= month_number(F.lit(last))))
+        return fact_loan_monthly(rows.where(F.col("snapshot_month").between(F.lit(first), F.lit(last))))
 
     @property
     def portfolio(self) -> DataFrame:
         if self._portfolio is None:
             from ..operators.portfolio import build_portfolio
-            self._portfolio = build_portfolio(self.dim_loan, self.panel_raw)
+            self._portfolio = build_portfolio(self.dim_loan, self.recent(12), self.loan_index)
         return self._portfolio
 
     @property

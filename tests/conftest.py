@@ -27,7 +27,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def seed(spark):
-    from riskloom.sources.seed import seed_mart
+    from tests.seed import seed_mart
     return seed_mart(spark)
 
 

@@ -1,4 +1,4 @@
-"""The two-loan illustrative seed of the mart (inline rows), for tests and docs.
+"""The two-loan illustrative seed of the mart (inline rows), test data.
 
 The ECL rows of the original seed lack ``ifrs9_stage``; stages 1 and 3 are
 supplied here. Its stored ``ecl_weighted`` does not equal the scenario blend,
@@ -11,8 +11,8 @@ from decimal import Decimal as D
 
 from pyspark.sql import SparkSession
 
-from ..schemas import DIM_LOAN, FACT_ECL, FACT_LOAN_MONTHLY
-from .tpch_mart import Mart, scenario_frame
+from riskloom.schemas import DIM_LOAN, FACT_ECL, FACT_LOAN_MONTHLY
+from riskloom.sources.tpch_mart import Mart, scenario_frame
 
 # fixed seed rows
 _LOANS = [
