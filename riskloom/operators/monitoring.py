@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, MONITOR_TRIGGERS, PD_CATEGORICAL, PD_FEATURES, RiskConfig
 from .metrics import band_of
+from .selection import digits_of, mark_smallest
 
 
 def hash_split(key: str = "loan_id", test_share: float = DEFAULT.test_share) -> F.Column:
@@ -28,20 +29,13 @@ def exact_stratified_split(df: DataFrame, label: str, key: str = "loan_id",
                            test_share: float = DEFAULT.test_share) -> DataFrame:
     """Add ``split`` with exactly round(test_share * n_c) test rows in each stratum c.
 
-    Rows are ranked inside their stratum by a hash of the key (same rows on
-    every run); the rank comes from range partitions on (stratum, hash), so
-    a large stratum is spread over many tasks.
+    The test rows of a stratum are those with the smallest (hash of the key, key), the same
+    on every run; the cutting hash is found from counts (``selection.mark_smallest``), so no row is sorted or moved.
     """
-    from .sequence import range_index
-    h = df.withColumn("_h", ((F.col(key) % 1000003) * 1103515245 + 12345) % 2147483648)
-    ranked = range_index(h, label, ["_h", key], "_r")
-    sizes = ranked.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))  # one row per stratum, from the pinned rows
-    if sizes.limit(10_001).count() <= 10_000:
-        sizes = F.broadcast(sizes)
-    cut = F.floor(F.col("_n") * F.lit(float(test_share)) + F.lit(0.5))
-    out = ranked.join(sizes, label)
-    return out.withColumn("split", F.when(F.col("_r") < cut, F.lit("test")).otherwise(F.lit("train"))) \
-        .drop("_h", "_r", "_n")
+    hashed = ((F.col(key) % 1000003) * 1103515245 + 12345) % 2147483648
+    digits = digits_of(F.coalesce(hashed, F.lit(0)), 32) + digits_of(F.coalesce(F.col(key), F.lit(0)))
+    marked = mark_smallest(df, label, digits, lambda n: F.floor(n * F.lit(float(test_share)) + F.lit(0.5)), "_test")
+    return marked.withColumn("split", F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train"))).drop("_test")
 
 
 def psi(expected: DataFrame, actual: DataFrame, bucket: str, epsilon: float | None = None) -> DataFrame:

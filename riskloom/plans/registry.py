@@ -277,8 +277,20 @@ def _split_counts(spark, d):
         .orderBy("split", "label")
 
 
+def _split_models(spark, d):
+    """The test and train rows of the three fits: number and sum of ids per stratum."""
+    b = _book(spark, d).select("loan_id", "default_flag", _models.ews_target().alias("ews_target"))
+    parts = []
+    for model, rows, stratum in (("pd", b, "default_flag"), ("lgd", b.filter(F.col("default_flag") == 1), "default_flag"), ("ews", b, "ews_target")):
+        s = monitoring.exact_stratified_split(rows.select("loan_id", F.col(stratum).alias("stratum")), "stratum")
+        parts.append(s.select(F.lit(model).alias("model"), "stratum", "split", "loan_id"))
+    both = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return both.groupBy("model", "stratum", "split").agg(F.count(F.lit(1)).alias("n_loans"), F.sum("loan_id").alias("id_sum")).orderBy("model", "stratum", "split")
+
+
 QUERIES.update({k: _wrap(v) for k, v in {
     "m1_split": _split_counts,
+    "m1_split_models": _split_models,
     "m3_m5_pd_models": lambda spark, d: _fit("pd", spark, d).metrics,
     "m17_pd_score_book": lambda spark, d: _fit("pd", spark, d).scored,
     "m13_lgd_gbt": lambda spark, d: _fit("lgd", spark, d).metrics,
