@@ -56,7 +56,7 @@ def auc_and_ap(scores: DataFrame, score: str = "score", label: str = "label") ->
                 F.round("_ap", 6).alias("pr_auc"))
 
 
-def _anchor(c: DataFrame, **point: float) -> DataFrame:
+def anchor(c: DataFrame, **point: float) -> DataFrame:
     """The curve's starting point: no score is high enough, so the threshold is null."""
     one = c.sparkSession.range(1)
     return one.select(F.lit(None).cast("double").alias("threshold"), *[F.lit(v).alias(k) for k, v in point.items()])
@@ -68,7 +68,7 @@ def roc_points(scores: DataFrame, score: str = "score", label: str = "label") ->
     return c.select(F.col("_score").alias("threshold"),
                     ratio_round("neg_cum", "_N", 6).alias("fpr"),
                     ratio_round("pos_cum", "_P", 6).alias("tpr")) \
-        .unionByName(_anchor(c, fpr=0.0, tpr=0.0)).orderBy(F.desc_nulls_first("threshold"))
+        .unionByName(anchor(c, fpr=0.0, tpr=0.0)).orderBy(F.desc_nulls_first("threshold"))
 
 
 def pr_points(scores: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
@@ -77,7 +77,7 @@ def pr_points(scores: DataFrame, score: str = "score", label: str = "label") ->
     return c.select(F.col("_score").alias("threshold"),
                     ratio_round("pos_cum", "_P", 6).alias("recall"),
                     ratio_round("pos_cum", F.col("pos_cum") + F.col("neg_cum"), 6).alias("precision")) \
-        .unionByName(_anchor(c, recall=0.0, precision=1.0)).orderBy(F.desc_nulls_first("threshold"))
+        .unionByName(anchor(c, recall=0.0, precision=1.0)).orderBy(F.desc_nulls_first("threshold"))
 
 
 def brier(scores: DataFrame, score: str = "score", label: str = "label") -> DataFrame:

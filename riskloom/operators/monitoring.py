@@ -45,9 +45,15 @@ def psi(expected: DataFrame, actual: DataFrame, bucket: str, epsilon: float | No
     reference: inner join (buckets missing on either side drop out). With
     ``epsilon``, a full outer join and shares floored at ``epsilon``.
     """
+    def counts(df):
+        return df.groupBy(bucket).agg(F.count(F.lit(1)).alias("_n"))
+    return psi_shares(counts(expected), counts(actual), bucket, "_n", epsilon)
+
+
+def psi_shares(expected: DataFrame, actual: DataFrame, bucket: str, n: str, epsilon: float | None = None) -> DataFrame:
+    """``psi`` from two histograms: one row per bucket with ``n`` rows."""
     def shares(df, name):
-        g = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("_n"))
-        return g.select(bucket, (F.col("_n") / F.sum("_n").over(Window.partitionBy())).alias(name))  # few buckets
+        return df.select(bucket, (F.col(n) / F.sum(n).over(Window.partitionBy())).alias(name))  # few buckets
     e, a = shares(expected, "_e"), shares(actual, "_a")
     if epsilon is None:
         j = e.join(a, bucket)

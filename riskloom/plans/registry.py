@@ -18,7 +18,7 @@ from ..operators import ecl as ecl_ops
 from ..operators import exposure, metrics, monitoring, panel, stress, watchlist
 from ..operators import models as _models
 from ..operators.portfolio import behaviour_12m, scorecard_lgd
-from ..operators.scalars import one_row
+from ..operators.score_index import build_index
 from ..session import checkpoint_dir
 from ..sources.mart_store import materialize_tpch
 from ..sources.tpch_mart import Mart, fact_loan_monthly
@@ -136,9 +136,12 @@ def _lgd_pred(spark, d):
         "loan_id", "sector", F.col("lgd").alias("actual"), scorecard_lgd().alias("predicted"))
 
 
-def _monitor_metrics(spark, d):
-    t = _test_scores(spark, d)
-    return one_row(metrics.auc_exact(t), metrics.brier(t), monitoring.psi_band(pd_score_table(spark, d)))
+def score_index(spark, d):
+    """The stored index of the PD scorecard's scores (built once per mart)."""
+    indexes = get_mart(spark, d).score_indexes
+    if "pd_scorecard" not in indexes:
+        indexes["pd_scorecard"] = build_index(pd_score_table(spark, d))
+    return indexes["pd_scorecard"]
 
 
 def _ews_target(spark, d):
@@ -189,10 +192,10 @@ _MORE = {
     "t2_concentration": lambda spark, d: stress.concentration(_stress_base(spark, d)),
     "t3_concentration_metrics": lambda spark, d: stress.concentration_metrics(stress.concentration(_stress_base(spark, d))),
     "t4_sensitivity": lambda spark, d: stress.sensitivity(_stress_base(spark, d)),
-    "m6_auc_exact": lambda spark, d: metrics.auc_exact(_test_scores(spark, d)),
-    "m7_average_precision": lambda spark, d: metrics.average_precision(_test_scores(spark, d)),
-    "m8_roc_points": lambda spark, d: metrics.roc_points(_test_scores(spark, d)),
-    "m8_pr_points": lambda spark, d: metrics.pr_points(_test_scores(spark, d)),
+    "m6_auc_exact": lambda spark, d: score_index(spark, d).auc(),
+    "m7_average_precision": lambda spark, d: score_index(spark, d).average_precision(),
+    "m8_roc_points": lambda spark, d: score_index(spark, d).roc_points(),
+    "m8_pr_points": lambda spark, d: score_index(spark, d).pr_points(),
     "m9_score_bands": lambda spark, d: metrics.score_bands(_test_scores(spark, d)),
     "m10_brier": lambda spark, d: metrics.brier(_test_scores(spark, d)),
     "m11_confusion": lambda spark, d: metrics.confusion(_test_scores(spark, d)),
@@ -200,13 +203,13 @@ _MORE = {
     "m14_regression_metrics": lambda spark, d: metrics.regression_metrics(_lgd_pred(spark, d)),
     "m15_lgd_segment_errors": lambda spark, d: metrics.segment_errors(_lgd_pred(spark, d)),
     "m18_ews_target": _ews_target,
-    "m20_top_decile_capture": lambda spark, d: metrics.top_fraction_capture(_test_scores(spark, d)),
+    "m20_top_decile_capture": lambda spark, d: score_index(spark, d).capture(_test_scores(spark, d)),
     "m21_ews_watchlist": _ews_watchlist,
-    "v1_psi_band": lambda spark, d: monitoring.psi_band(pd_score_table(spark, d)),
+    "v1_psi_band": lambda spark, d: score_index(spark, d).psi(),
     "v2_psi_feature": lambda spark, d: monitoring.psi_features(
         _book(spark, d).withColumn("split", monitoring.hash_split())),
     "v3_band_calibration": lambda spark, d: monitoring.band_calibration(metrics.score_bands(_test_scores(spark, d))),
-    "v4_monitor_triggers": lambda spark, d: monitoring.monitor_triggers(_monitor_metrics(spark, d)),
+    "v4_monitor_triggers": lambda spark, d: monitoring.monitor_triggers(score_index(spark, d).monitor_metrics()),
     "v5_hosmer_lemeshow": lambda spark, d: monitoring.hosmer_lemeshow(_test_scores(spark, d)),
     "v5b_binomial_light": lambda spark, d: monitoring.binomial_light(_test_scores(spark, d)),
     "v6_data_quality": _dq,

@@ -8,7 +8,7 @@ run over data that grows with the scale factor.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -151,6 +151,8 @@ class Mart:
     # indexes of a written panel (see ``mart_store``): periods with the depth of their rows, observations per loan
     periods: DataFrame | None = None
     loan_index: DataFrame | None = None
+    # indexes of scored sets by name, built by the first query that reads one
+    score_indexes: dict = field(default_factory=dict)
 
     def recent(self, k: int, used: bool = False) -> DataFrame:
         """The raw panel without the periods that hold none of a loan's last ``k`` observations (``used``: of those with a utilisation).
