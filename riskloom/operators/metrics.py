@@ -22,7 +22,7 @@ def auc_exact(scores: DataFrame, score: str = "score", label: str = "label") ->
     c = prefix_sums(c, "_score", ["neg"])
     num = F.sum(F.col("pos").cast("double") * (F.col("neg_cum") - F.col("neg") + F.col("neg") * 0.5))
     return c.agg(num.alias("_u"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n")).select(
-        F.round(F.col("_u") / (F.col("_p").cast("double") * F.col("_n").cast("double")), 6).alias("roc_auc"))
+        F.round(F.try_divide(F.col("_u"), F.col("_p").cast("double") * F.col("_n").cast("double")), 6).alias("roc_auc"))
 
 
 def _desc_curve(scores: DataFrame, score: str, label: str) -> DataFrame:
@@ -36,7 +36,7 @@ def average_precision(scores: DataFrame, score: str = "score", label: str = "lab
     """Average precision (area under the step PR curve): one row ``pr_auc``."""
     c = _desc_curve(scores, score, label)
     prec = F.col("pos_cum").cast("double") / (F.col("pos_cum") + F.col("neg_cum")).cast("double")
-    return c.agg(F.sum(F.col("pos").cast("double") / F.col("_P").cast("double") * prec).alias("_ap")).select(
+    return c.agg(F.sum(F.try_divide(F.col("pos").cast("double"), F.col("_P").cast("double")) * prec).alias("_ap")).select(
         F.round("_ap", 6).alias("pr_auc"))
 
 
@@ -50,9 +50,9 @@ def auc_and_ap(scores: DataFrame, score: str = "score", label: str = "label") ->
     below = F.col("_N") - F.col("neg_cum")
     u = F.col("pos").cast("double") * (below.cast("double") + F.col("neg").cast("double") * 0.5)
     prec = F.col("pos_cum").cast("double") / (F.col("pos_cum") + F.col("neg_cum")).cast("double")
-    ap = F.col("pos").cast("double") / F.col("_P").cast("double") * prec
+    ap = F.try_divide(F.col("pos").cast("double"), F.col("_P").cast("double")) * prec
     return c.agg(F.sum(u).alias("_u"), F.sum(ap).alias("_ap"), F.first("_P").alias("_P"), F.first("_N").alias("_N")) \
-        .select(F.round(F.col("_u") / (F.col("_P").cast("double") * F.col("_N").cast("double")), 6).alias("roc_auc"),
+        .select(F.round(F.try_divide(F.col("_u"), F.col("_P").cast("double") * F.col("_N").cast("double")), 6).alias("roc_auc"),
                 F.round("_ap", 6).alias("pr_auc"))
 
 
