@@ -1,9 +1,9 @@
 """Approximate nearest neighbours by multi-index hashing over learned binary codes.
 
 Codes: vectors are centred and turned by ``rotations`` learned rotations (principal
-axes, then iterative quantisation), the signs are the bits. Rotations and the
-search radius are fitted on a bounded sample (``sample`` rows, the smallest id hashes);
-every row is indexed. The radius is the ``recall`` quantile of the Hamming
+axes, then iterative quantisation), the signs are the bits. Vectors of each length have an index of
+their own. Rotations and the search radius are fitted on a bounded sample (``sample`` rows with the smallest
+hashes; rows are cut at a hash that leaves about twice as many before any reach the driver); every row is indexed. The radius is the ``recall`` quantile of the Hamming
 distances from sample rows to their true ``k`` nearest in the sample; in the whole
 table the nearest are nearer still.
 
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, group_bounds, runs, write_table
-from .vectors import matrix, valid_vectors
+from .vectors import matrix, vector_rows
 
 POPCOUNT = np.bitwise_count(np.arange(256, dtype=np.uint8)).astype(np.int64)
 #: byte differences in order of their number of bits, and how many there are up to each
@@ -108,9 +108,9 @@ def _search(mean: np.ndarray, turn: np.ndarray, radius: int, k: int):
             for at, to in zip(bounds, bounds[1:]):
                 cell = tab.slice(int(at), int(to - at))
                 asks = cell.column("ask").to_numpy(zero_copy_only=False).astype(bool)
-                ids, x = cell.column("id").to_numpy(), matrix(cell.column("vec"))
+                ids, rows_of, x = cell.column("id").to_numpy(), cell.column("row").to_numpy(), matrix(cell.column("vec"))
                 codes = encode(x, mean, turn)
-                own, xs = ids[~asks], x[~asks]
+                own, xs, own_row = ids[~asks], x[~asks], rows_of[~asks]
                 if not len(own):
                     continue
                 index = MultiIndex(codes[~asks])
@@ -119,15 +119,15 @@ def _search(mean: np.ndarray, turn: np.ndarray, radius: int, k: int):
                     r = radius
                     while True:
                         rows = index.within(codes[q], r)
-                        rows = rows[own[rows] != ids[q]]
+                        rows = rows[own_row[rows] != rows_of[q]]
                         if len(rows) >= k or r >= codes.shape[1] * 8:
                             break
                         r += max(1, codes.shape[1] // 2)
                     d = distances(xs[rows], x[q])
                     best = np.lexsort((own[rows], d))[:k]
-                    out.append((np.full(len(best), ids[q]), own[rows][best], d[best]))
+                    out.append((np.full(len(best), rows_of[q]), np.full(len(best), ids[q]), own[rows][best], d[best]))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["query_id", "id", "score"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["row", "query_id", "id", "score"])
     return fn
 
 
@@ -135,33 +135,43 @@ def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: st
             recall: float = 0.98, sample: int = 8192, block: int = 8192, query_block: int = 4096) -> DataFrame:
     """(query_id, rank int, id_col, score): the ``k`` nearest found of every query row, by Euclidean distance.
 
-    ``is_query`` is a condition on the column ``id``. Candidates are all rows but the query's
-    own; ties go to the smaller id; a query with fewer candidates gets them all. Null, empty and zero
-    vectors, those with null or non-finite components, and those of another length than
-    most (ties: the longer) take no part. An id on several rows counts once,
-    with its smallest vector; rows without an id take no part. An empty table
+    ``is_query`` is a condition on the column ``id``. Candidates are all rows but the query's own (other rows of its id
+    are candidates, and queries if they meet the condition); ties go to the smaller id; a query with fewer candidates gets them all. Null, empty and zero
+    vectors, those with null or non-finite components and rows without an id take no part. Vectors of different lengths
+    have no distance: each length is searched by itself. An empty table
     gives an empty result; other columns are ignored.
     """
     spark = df.sparkSession
-    schema = f"query_id long, rank int, {id_col} long, score double"
-    valid = write_table(valid_vectors(df, id_col, vec_col), "ann-vectors")
-    most = valid.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    if most is None:
-        return spark.createDataFrame([], schema)
-    valid = valid.where(F.size("vec") == most["d"])
-    rows = valid.orderBy(F.xxhash64("id"), "id").limit(sample).collect()  # at most ``sample`` vectors
-    x = np.array([r["vec"] for r in rows])
+    valid = vector_rows(df, id_col, vec_col).where(F.col("id").isNotNull()).withColumn("row", F.monotonically_increasing_id())
+    valid = write_table(valid, "ann-vectors")       # the row numbers stay as they are written
+    out = None
+    for length in valid.groupBy(F.size("vec").alias("d")).count().orderBy("d").collect():       # one row per vector length
+        found = _nearest_of_length(valid.where(F.size("vec") == length["d"]), length["count"], is_query, k, rotations, recall, sample, block, query_block)
+        if found is not None:
+            out = found if out is None else out.unionByName(found)
+    if out is None:
+        return spark.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
+    best = F.row_number().over(Window.partitionBy("row").orderBy("score", "id"))
+    return out.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), F.col("id").alias(id_col), "score")
+
+
+def _nearest_of_length(valid: DataFrame, n: int, is_query: Column, k: int, rotations: int, recall: float, sample: int, block: int, query_block: int) -> DataFrame | None:
+    """(row, query_id, id, score) of at least the ``k`` nearest found in each index block, over ``n`` rows of one length; None without queries."""
+    query_blocks = -(-valid.where(is_query).count() // query_block)
+    if not query_blocks:
+        return None
+    spread = F.xxhash64("id", "row")
+    cut = min(1.0, 2.0 * sample / n)        # about twice the sample passes the cut, whatever the number of partitions
+    few = valid.where(F.abs(spread.cast("double")) <= cut * 2.0 ** 63).orderBy(spread, "id", "row").limit(sample)
+    x = np.array([r["vec"] for r in few.select("vec").collect()])  # at most ``sample`` vectors
+    if not len(x):      # a small table whose hashes all lie above the cut
+        x = np.array([r["vec"] for r in valid.limit(sample).select("vec").collect()])
     mean, turn = learn_rotations(x, rotations)
     radius = fit_radius(x, encode(x, mean, turn), k, recall)
-    index_blocks = -(-most["count"] // block)
+    index_blocks = -(-n // block)
     asked = valid.where(is_query)
-    query_blocks = -(-asked.count() // query_block)
-    if not query_blocks:
-        return spark.createDataFrame([], schema)
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(int(n) - 1)))
-    index = valid.select(F.pmod(F.xxhash64("id"), F.lit(index_blocks)).cast("int").alias("ib"), spread(query_blocks).alias("qc"), F.lit(False).alias("ask"), "id", "vec")
-    asks = asked.select(spread(index_blocks).alias("ib"), F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int").alias("qc"), F.lit(True).alias("ask"), "id", "vec")
-    dealt = index.unionByName(asks).repartition("qc", "ib").sortWithinPartitions("qc", "ib", "id")
-    found = arrow_map(dealt.select("qc", "ib", "ask", "id", "vec"), _search(mean, turn, radius, k), "query_id long, id long, score double")
-    best = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "id"))
-    return found.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), F.col("id").alias(id_col), "score")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(int(count) - 1)))
+    index = valid.select(F.pmod(spread, F.lit(index_blocks)).cast("int").alias("ib"), every(query_blocks).alias("qc"), F.lit(False).alias("ask"), "id", "row", "vec")
+    asks = asked.select(every(index_blocks).alias("ib"), F.pmod(spread, F.lit(query_blocks)).cast("int").alias("qc"), F.lit(True).alias("ask"), "id", "row", "vec")
+    dealt = index.unionByName(asks).repartition("qc", "ib").sortWithinPartitions("qc", "ib", "id", "row")
+    return arrow_map(dealt.select("qc", "ib", "ask", "id", "row", "vec"), _search(mean, turn, radius, k), "row long, query_id long, id long, score double")

@@ -49,17 +49,15 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP1_SQL = """
-WITH p AS (
-  SELECT DISTINCT page_id, url, coalesce(html, '') AS body FROM pages
-), d AS (
-  SELECT page_id, url, octet_length(encode(body)) AS n, sha1(body) AS digest FROM p
+WITH d AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages
 ), f AS (
-  SELECT digest, max(page_id) AS first_id FROM d WHERE n >= 1000 GROUP BY digest
+  SELECT *, row_number() OVER (PARTITION BY digest ORDER BY page_id DESC NULLS LAST) AS place, max(page_id) OVER (PARTITION BY digest) AS first_id FROM d
 )
-SELECT d.page_id, CAST(d.n AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
-       CASE WHEN f.first_id <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN f.first_id <> d.page_id THEN f.first_id END AS refers_to
-FROM d LEFT JOIN f ON d.digest = f.digest AND d.n >= 1000
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND place > 1 THEN first_id END AS refers_to
+FROM f
 """
 
 

@@ -7,19 +7,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _fine(x) -> F.Column:
+    """A finite, non-zero, non-empty vector."""
+    return (x.isNotNull() & (F.size(x) > 0) & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))))
+            & F.exists(x, lambda v: v != 0))
+
+
+def vector_rows(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(id long, vec array<double>): every row with a finite, non-zero, non-empty vector, whatever its id."""
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).where(_fine(F.col("vec")))
+
+
 def valid_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id long, vec array<double>): rows with an id and a finite, non-zero, non-empty vector.
 
     An id that stands on several rows counts once, with its smallest vector.
     """
-    x = F.col("vec")
-    fine = (
-        F.col("id").isNotNull() & x.isNotNull() & (F.size(x) > 0)
-        & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))))
-        & F.exists(x, lambda v: v != 0)
-    )
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
-    return rows.where(fine).groupBy("id").agg(F.min("vec").alias("vec"))
+    return vector_rows(df, id_col, vec_col).where(F.col("id").isNotNull()).groupBy("id").agg(F.min("vec").alias("vec"))
 
 
 def matrix(column: pa.ChunkedArray) -> np.ndarray:

@@ -42,9 +42,9 @@ def write_warc(pages: DataFrame, out: str, id_col: str = "page_id", url_col: str
                date: str = "2024-01-01T00:00:00Z", records_per_file: int = 12_000, compression: str = "gzip") -> None:
     """Write a capture per row of ``pages``; the payload is the body in UTF-8 (null: empty).
 
-    Of captures with equal payloads of at least ``revisit_from`` bytes, that with the largest
+    Of captures with equal payloads of at least ``revisit_from`` bytes, one with the largest
     id is the response, the others revisit it; smaller ones are all responses. Rows that are equal in id, url and
-    body are one capture (the same record ids). A null url has no target header, line ends in a url are
+    body are captures of their own, told apart by a number in their record ids. A null url has no target header, line ends in a url are
     percent-encoded; a null id has no id field. An empty table writes no records; other columns are ignored.
     """
     body = F.coalesce(F.col(body_col).cast("string"), F.lit(""))
@@ -52,15 +52,27 @@ def write_warc(pages: DataFrame, out: str, id_col: str = "page_id", url_col: str
     rows = pages.select(F.col(id_col).cast("long").alias("id"), url.alias("url"), body.alias("body"))
     rows = rows.select("id", "url", "body", F.sha1(F.col("body").cast("binary")).alias("digest"), F.octet_length("body").alias("size"))
     keyed = rows.withColumn("key", F.concat_ws("|", F.coalesce(F.col("id").cast("string"), F.lit("-")), F.coalesce("url", F.lit("-")), "digest"))
+    # one narrow row per distinct capture with its number of copies; bodies are not moved
+    keys = write_table(keyed.groupBy("digest", "key", "id", "size").agg(F.count(F.lit(1)).alias("n")), "warc-keys")
     groups = (
-        keyed.where(F.col("size") >= revisit_from).groupBy("digest")
-        .agg(F.max(F.struct("id", "key")).alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+        keys.where(F.col("size") >= revisit_from).groupBy("digest")
+        .agg(F.max(F.struct("id", "key")).alias("first"), F.sum("n").alias("n")).where(F.col("n") > 1)
         .select("digest", F.col("first.key").alias("first_key"))
     )
     groups = write_table(groups, "warc-groups")
+    copies = keys.where(F.col("n") > 1).select("key", "n")
+    if copies.limit(1).count():
+        # equal rows are brought together (combined map-side, however many) and dealt out again with numbers
+        told = keyed.join(bounded_hint(copies), "key", "left")
+        again = told.where(F.col("n").isNotNull()).dropDuplicates(["key"]).withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))))
+        keyed = told.where(F.col("n").isNull()).withColumn("copy", F.lit(0)).unionByName(again).drop("n")
+    else:
+        keyed = keyed.withColumn("copy", F.lit(0))
     keyed = keyed.join(bounded_hint(groups), "digest", "left")  # AQE splits a hot digest where this is no broadcast
+    revisit = F.col("first_key").isNotNull() & ((F.col("first_key") != F.col("key")) | (F.col("copy") > 0))
+    keyed = keyed.withColumn("revisit", revisit).withColumn("key", F.when(F.col("copy") > 0, F.concat("key", F.lit("|"), F.col("copy").cast("string"))).otherwise(F.col("key")))
     uri, capture = F.col("url"), _uuid("capture", F.col("key"))
-    revisit = F.col("first_key").isNotNull() & (F.col("first_key") != F.col("key"))
+    revisit = F.col("revisit")
     digest = F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest"), F.lit("\r\n"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("size").cast("string"), F.lit(END))
     response = _record("response", capture, uri, date, [digest], "application/http; msgtype=response", F.concat(http, F.col("body")))

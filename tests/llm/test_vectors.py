@@ -84,10 +84,57 @@ def test_index_holds_every_code_within_the_radius():
             assert index.within(q, r).tolist() == np.flatnonzero(M.hamming(codes, q) <= r).tolist()
 
 
+def brute_nearest(rows, ask, k=10):
+    """Per query row: (query_id, [(score, id)] of its k nearest rows of the same length but itself)."""
+    out = []
+    for i, (q, v) in enumerate(rows):
+        if q is None or not ask(q):
+            continue
+        d = sorted((float(np.sqrt(((np.array(w, float) - np.array(v, float)) ** 2).sum())), c) for j, (c, w) in enumerate(rows) if j != i and c is not None and len(w) == len(v))
+        out.append((q, d[:k]))
+    return out
+
+
+def test_all_lengths_repeated_ids_at_the_parameters_of_the_query(spark, tmp_path):
+    """Two lengths, repeated rows and repeated ids with other vectors: every valid row asks and answers; recall at the query's own parameters."""
+    x = clustered(1500)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    rows += rows[:3] + [(100, [float(v) for v in x[7]]), (100, [float(v) for v in x[8]])]
+    rows += [(200 + i, [float(i % 7), float(i % 5) + 1]) for i in range(0, 300, 20)] + [(300, [1.0])]      # ids of the first length too
+    df = spark.createDataFrame(rows + BAD + [(None, [1.0, 2.0])], "vec_id long, embedding array<float>").withColumn("row", F.lit("clash")).withColumn("rank", F.lit(0))
+    df.write.parquet(str(tmp_path / "embeddings.parquet"))
+    from riskloom.llm.queries import op6_multi_index
+    got = {}
+    for r in op6_multi_index(spark, str(tmp_path)).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["score"], r["vec_id"]))
+    want = brute_nearest([(i, np.array(v, np.float32).astype(float)) for i, v in rows], lambda q: q % 100 == 0)
+    assert sorted(got) == sorted({q for q, d in want if d})
+    hits = total = 0
+    for q in got:
+        asked = [d for qq, d in want if qq == q]
+        assert sorted(r for r, _, _ in got[q]) == sorted(r for d in asked for r in range(1, len(d) + 1))
+        found = [(round(s, 9), v) for _, s, v in got[q]]
+        for d in asked:
+            for s, v in d:
+                total += 1
+                if (round(s, 9), v) in found:
+                    found.remove((round(s, 9), v))
+                    hits += 1
+    assert hits / total >= 0.9
+
+
+def test_sample_on_the_driver_is_bounded(spark):
+    """What passes the hash cut is about twice the sample, not a sample per partition."""
+    n, sample = 20_000, 500
+    rows = spark.range(n).repartition(16).select("id", F.monotonically_increasing_id().alias("row"))
+    cut = 2.0 * sample / n
+    assert rows.where(F.abs(F.xxhash64("id", "row").cast("double")) <= cut * 2.0 ** 63).count() < 3 * sample
+
+
 def test_recall_and_exact_scores(spark):
     x = np.vstack([clustered(1200), clustered()[:2]])
     rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
-    df = spark.createDataFrame(rows + rows[:5] + BAD, "vec_id long, embedding array<float>").withColumn("query_id", F.lit(1))
+    df = spark.createDataFrame(rows + BAD, "vec_id long, embedding array<float>").withColumn("query_id", F.lit(1))
     got = M.nearest(df, F.col("id") % 20 == 0, block=300, query_block=16, rotations=4).collect()
     x = x.astype(float)
     hits = total = 0
