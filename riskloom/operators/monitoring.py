@@ -186,37 +186,52 @@ def _fails(rule: F.Column) -> F.Column:
 
 
 def data_quality(loans: DataFrame, panel: DataFrame, book: DataFrame, ecl: DataFrame) -> DataFrame:
-    """v6: failing-row counts per rule (0 = pass). One aggregate per table, stacked."""
-    dl = loans.agg(
-        (F.count(F.lit(1)) - F.countDistinct("loan_id")).alias("dim_loan_duplicate_id"),
-        F.count_if(_fails(F.col("credit_score").between(520, 820))).alias("credit_score_out_of_range"),
-        F.count_if(_fails(F.col("ltv_orig").between(30, 110))).alias("ltv_out_of_range"),
-        F.count_if(_fails(F.col("dti").between(5, 75))).alias("dti_out_of_range"),
-        F.count_if(_fails(F.col("dscr").between(0.4, 3.5))).alias("dscr_out_of_range"),
-        F.count_if(_fails(F.col("interest_rate").between(3, 14))).alias("rate_out_of_range"),
-        F.count_if(_fails(F.col("term_months").isin(60, 120, 180, 240, 360))).alias("term_not_allowed"),
-        F.count_if(F.col("sector").isNull() | F.col("region").isNull()).alias("dim_loan_nulls"))
-    keys = panel.groupBy("loan_id", "snapshot_month").agg(F.count(F.lit(1)).alias("_c"))
-    pk = keys.agg(F.sum(F.col("_c") - 1).alias("panel_duplicate_key"))
-    orphans = panel.select("loan_id").join(loans.select("loan_id"), "loan_id", "left_anti") \
-        .agg(F.count(F.lit(1)).alias("panel_orphan_rows"))
-    pf = book.agg(
-        F.count_if((F.col("default_flag") == 1) & _fails(F.col("lgd").between(0, 1))).alias("lgd_missing_or_out_of_range"),
-        F.count_if((F.col("default_flag") == 0) & F.col("lgd").isNotNull()).alias("lgd_on_performing_loan"),
-        F.count_if(_fails(F.col("ead") > 0)).alias("ead_not_positive"),
-        F.count_if(_fails(F.col("true_pd").between(0, 1))).alias("pd_missing_or_out_of_range"),
-        F.count_if(_fails(F.col("default_flag").isin(0, 1))).alias("default_flag_not_binary"),
-        F.count_if(reduce(or_, [F.col(c).isNull() for c in PD_FEATURES + PD_CATEGORICAL])).alias("pd_feature_nulls"),
-        F.when(_fails(F.avg("default_flag").between(0.02, 0.40)), F.lit(1)).otherwise(F.lit(0)).alias("default_rate_implausible"))
-    unscored = book.select("loan_id").join(ecl.select("loan_id"), "loan_id", "left_anti") \
-        .agg(F.count(F.lit(1)).alias("unscored_loans"))
+    """v6: failing-row counts per rule (0 = pass).
+
+    Each table is scanned once: loans and panel are counted per loan and met in one full join, and so are book and ECL. On
+    tables bucketed by loan neither the counts nor the joins shuffle; on others Spark filters the larger
+    side by a Bloom filter of the smaller where it pays.
+    """
     from ..functions.columns import vintage_label
-    vint = panel.select("loan_id", "months_on_book").join(
-        loans.select("loan_id", vintage_label("origination_date").alias("_v")), "loan_id") \
-        .groupBy("_v").agg(F.count_if(F.col("months_on_book") == 0).alias("_age0"))
-    no_age0 = vint.agg(F.count_if(F.col("_age0") == 0).alias("vintages_without_age0"))
+    loan_rules = {
+        "credit_score_out_of_range": _fails(F.col("credit_score").between(520, 820)),
+        "ltv_out_of_range": _fails(F.col("ltv_orig").between(30, 110)),
+        "dti_out_of_range": _fails(F.col("dti").between(5, 75)),
+        "dscr_out_of_range": _fails(F.col("dscr").between(0.4, 3.5)),
+        "rate_out_of_range": _fails(F.col("interest_rate").between(3, 14)),
+        "term_not_allowed": _fails(F.col("term_months").isin(60, 120, 180, 240, 360)),
+        "dim_loan_nulls": F.col("sector").isNull() | F.col("region").isNull()}
+    per_loan = loans.groupBy("loan_id").agg(F.count(F.lit(1)).alias("_loans"), F.min(vintage_label("origination_date")).alias("_v"),
+                                            *[F.count_if(rule).alias(name) for name, rule in loan_rules.items()])
+    keys = panel.groupBy("loan_id", "snapshot_month").agg(F.count(F.lit(1)).alias("_c"), F.count_if(F.col("months_on_book") == 0).alias("_z"))
+    per_panel = keys.groupBy("loan_id").agg(F.sum("_c").alias("_rows"), F.sum(F.col("_c") - 1).alias("_repeats"), F.sum("_z").alias("_age0"))
+    met = per_loan.withColumnRenamed("loan_id", "_l").join(per_panel, F.col("_l") == F.col("loan_id"), "full")
+    known = F.col("_loans").isNotNull()
+    # per vintage first: which have no month 0 is a count over a few rows
+    by_vintage = met.groupBy("_v").agg(
+        F.sum(F.when(known, F.col("_loans") - F.col("_l").isNotNull().cast("long"))).alias("dim_loan_duplicate_id"),
+        *[F.sum(name).alias(name) for name in loan_rules], F.sum("_repeats").alias("panel_duplicate_key"),
+        F.sum(F.when(~known, F.col("_rows"))).alias("panel_orphan_rows"),
+        F.count_if(known & F.col("_rows").isNotNull()).alias("_met"), F.sum(F.when(known, F.col("_age0"))).alias("_zero"))
+    sums = ["dim_loan_duplicate_id", *loan_rules, "panel_duplicate_key", "panel_orphan_rows"]
+    dl = by_vintage.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
+                        F.count_if((F.col("_met") > 0) & (F.col("_zero") == 0)).alias("vintages_without_age0"))
+    book_rules = {
+        "lgd_missing_or_out_of_range": (F.col("default_flag") == 1) & _fails(F.col("lgd").between(0, 1)),
+        "lgd_on_performing_loan": (F.col("default_flag") == 0) & F.col("lgd").isNotNull(),
+        "ead_not_positive": _fails(F.col("ead") > 0),
+        "pd_missing_or_out_of_range": _fails(F.col("true_pd").between(0, 1)),
+        "default_flag_not_binary": _fails(F.col("default_flag").isin(0, 1)),
+        "pd_feature_nulls": reduce(or_, [F.col(c).isNull() for c in PD_FEATURES + PD_CATEGORICAL])}
+    per_book = book.groupBy("loan_id").agg(F.count(F.lit(1)).alias("_rows"), F.sum("default_flag").alias("_flags"), F.count("default_flag").alias("_flagged"),
+                                           *[F.count_if(rule).alias(name) for name, rule in book_rules.items()])
+    scored = ecl.groupBy("loan_id").agg(F.lit(1).alias("_scored")).withColumnRenamed("loan_id", "_s")
+    pf = per_book.join(scored, F.col("loan_id") == F.col("_s"), "left").agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in book_rules],
+        F.when(_fails((F.try_divide(F.sum("_flags"), F.sum("_flagged"))).between(0.02, 0.40)), F.lit(1)).otherwise(F.lit(0)).alias("default_rate_implausible"),
+        F.coalesce(F.sum(F.when(F.col("_scored").isNull(), F.col("_rows"))), F.lit(0)).alias("unscored_loans"))
     from .scalars import one_row
-    one = one_row(dl, pk, orphans, pf, unscored, no_age0)
+    one = one_row(dl, pf)
     rules = [c for c in one.columns]
     stack = "stack({}, {}) as (rule, failures)".format(
         len(rules), ", ".join(f"'{r}', CAST(`{r}` AS BIGINT)" for r in rules))

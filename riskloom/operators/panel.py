@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, RiskConfig
 from ..functions.columns import bucket_severity, is_90plus, ratio_round, score_band, vintage_label
-from .sequence import top_k_per_key, with_prior
+from .sequence import hot_keys, top_k_per_key, with_prior
 
 
 def _vintages(loans: DataFrame) -> DataFrame:
@@ -45,20 +45,27 @@ def vintage_90plus(panel: DataFrame, loans: DataFrame) -> DataFrame:
     ).orderBy("vintage", "months_on_book")
 
 
-def cumulative_bad(panel: DataFrame, loans: DataFrame) -> DataFrame:
+def cumulative_bad(panel: DataFrame, loans: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """q1b: share of a cohort that has ever been 90+ by each age.
 
-    "Ever 90+ up to this age" is ``age >= first bad age`` of the loan: one
-    per-loan aggregate joined back, equal to the running MAX window.
+    One scan of the panel in loan and age order carries a flag from the loan's first bad age on, and counts a loan at the first
+    of its rows of an age. With hot loans the flag is ``age >= first bad age``, a per-loan aggregate joined back,
+    and loans are counted distinct.
     """
     m = panel.select("loan_id", "months_on_book", is_90plus("dpd", "dpd_bucket").alias("_bad"))
-    first_bad = m.groupBy("loan_id").agg(
-        F.min(F.when(F.col("_bad") == 1, F.col("months_on_book"))).alias("_first_bad"))
-    flagged = m.join(first_bad, "loan_id").join(_vintages(loans), "loan_id").withColumn(
-        "_ever", F.when(F.col("months_on_book") >= F.col("_first_bad"), 1).otherwise(0))
-    g = flagged.groupBy("vintage", "months_on_book").agg(
-        F.countDistinct("loan_id").alias("cohort_size"),
-        F.sum("_ever").alias("_ever_n"), F.count(F.lit(1)).alias("_n"))
+    if hot_keys(m, "loan_id", cfg) is None:
+        by_age = Window.partitionBy("loan_id").orderBy("months_on_book")       # ties in age share the flag (RANGE)
+        first = ~F.lag("months_on_book").over(by_age).eqNullSafe(F.col("months_on_book")) | (F.row_number().over(by_age) == 1)
+        flagged = m.select("loan_id", "months_on_book", F.max("_bad").over(by_age).alias("_ever"), first.cast("int").alias("_first"))
+        cohort = F.sum("_first")
+    else:
+        first_bad = m.groupBy("loan_id").agg(
+            F.min(F.when(F.col("_bad") == 1, F.col("months_on_book"))).alias("_first_bad"))
+        flagged = m.join(first_bad, "loan_id").withColumn(
+            "_ever", F.when(F.col("months_on_book") >= F.col("_first_bad"), 1).otherwise(0))
+        cohort = F.countDistinct("loan_id")
+    g = flagged.join(_vintages(loans), "loan_id").groupBy("vintage", "months_on_book").agg(
+        cohort.alias("cohort_size"), F.sum("_ever").alias("_ever_n"), F.count(F.lit(1)).alias("_n"))
     return g.select(
         "vintage", F.col("months_on_book").cast("long"), F.col("cohort_size").cast("long"),
         ratio_round("_ever_n", "_n", 4).alias("cumulative_bad_rate"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..operators import ecl as ecl_ops
-from ..operators import exposure, metrics, monitoring, panel, stress, watchlist
+from ..operators import drift, exposure, metrics, monitoring, panel, stress, watchlist
 from ..operators import models as _models
 from ..operators.portfolio import behaviour_12m, scorecard_lgd
 from ..operators.score_index import build_index
@@ -78,7 +78,7 @@ def _reconcile(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q1a_vintage_90plus": _pl(panel.vintage_90plus),
-    "q1b_cumulative_bad": _pl(panel.cumulative_bad),
+    "q1b_cumulative_bad": lambda spark, d: panel.cumulative_bad(get_mart(spark, d).fact_loan_monthly, get_mart(spark, d).dim_loan, get_mart(spark, d).cfg),
     "q2a_roll_matrix": _pc(panel.roll_matrix),
     "q2b_forward_cure": _pc(panel.forward_cure),
     "q3a_cohort_default": _pl(panel.cohort_default),
@@ -144,6 +144,19 @@ def score_index(spark, d):
     return indexes["pd_scorecard"]
 
 
+def _panel_drift(spark, d):
+    """Stability of panel features in every month after the first year, against that year's stored histograms."""
+    m = get_mart(spark, d)
+    if "panel" not in m.baselines:
+        first = m.fact_loan_monthly.agg(F.min("snapshot_month")).first()[0]        # one date
+        base = drift.make_baseline(m.between_months(first, F.add_months(F.lit(first), 11)))
+        path = base.save(f"{checkpoint_dir(spark).rstrip('/')}/riskloom-baseline-{uuid.uuid4().hex[:12]}")
+        m.baselines["panel"] = (first, drift.load_baseline(spark, path))
+    first, base = m.baselines["panel"]
+    later = m.fact_loan_monthly.where(F.col("snapshot_month") > F.add_months(F.lit(first), 11))
+    return base.psi(base.histogram(later, ("snapshot_month",)), ("snapshot_month",)).select("snapshot_month", "feature", "psi").orderBy("snapshot_month", "feature")
+
+
 def _ews_target(spark, d):
     b = _book(spark, d)
     ev = ((F.col("current_dpd") >= 30) | (F.col("default_flag") == 1)).cast("long")
@@ -208,6 +221,7 @@ _MORE = {
     "v1_psi_band": lambda spark, d: score_index(spark, d).psi(),
     "v2_psi_feature": lambda spark, d: monitoring.psi_features(
         _book(spark, d).withColumn("split", monitoring.hash_split())),
+    "v2_psi_months": _panel_drift,
     "v3_band_calibration": lambda spark, d: monitoring.band_calibration(metrics.score_bands(_test_scores(spark, d))),
     "v4_monitor_triggers": lambda spark, d: monitoring.monitor_triggers(score_index(spark, d).monitor_metrics()),
     "v5_hosmer_lemeshow": lambda spark, d: monitoring.hosmer_lemeshow(_test_scores(spark, d)),

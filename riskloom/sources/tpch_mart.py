@@ -153,6 +153,8 @@ class Mart:
     loan_index: DataFrame | None = None
     # indexes of scored sets by name, built by the first query that reads one
     score_indexes: dict = field(default_factory=dict)
+    # stored drift baselines by name
+    baselines: dict = field(default_factory=dict)
 
     def recent(self, k: int, used: bool = False) -> DataFrame:
         """The raw panel without the periods that hold none of a loan's last ``k`` observations (``used``: of those with a utilisation).
@@ -166,14 +168,15 @@ class Mart:
         return self.panel_raw.join(F.broadcast(near), "period", "left_semi")   # one row per period
 
     def between_months(self, first, last) -> DataFrame:
-        """The panel's rows with ``snapshot_month`` from ``first`` to ``last`` (dates), read from the periods they fall in."""
+        """The panel's rows with ``snapshot_month`` from ``first`` to ``last`` (dates or constant Columns), read from the periods they fall in."""
+        first, last = (v if isinstance(v, Column) else F.lit(v) for v in (first, last))
         rows = self.panel_raw
         if "period" in rows.columns and self.periods is not None:
             from .mart_store import month_number
             # the period that the first month falls in starts at or before it
-            starts = self.periods.where(F.col("period") <= month_number(F.lit(first))).agg(F.max("period").alias("p")).scalar()
-            rows = rows.where((F.col("period") >= F.coalesce(starts, F.lit(0))) & (F.col("period") <= month_number(F.lit(last))))
-        return fact_loan_monthly(rows.where(F.col("snapshot_month").between(F.lit(first), F.lit(last))))
+            starts = self.periods.where(F.col("period") <= month_number(first)).agg(F.max("period").alias("p")).scalar()
+            rows = rows.where((F.col("period") >= F.coalesce(starts, F.lit(0))) & (F.col("period") <= month_number(last)))
+        return fact_loan_monthly(rows.where(F.col("snapshot_month").between(first, last)))
 
     @property
     def portfolio(self) -> DataFrame:

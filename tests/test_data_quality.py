@@ -40,3 +40,28 @@ def test_defaulted_loan_without_lgd(mart, small):
     loans, book = small
     one = F.col("loan_id") == book.where("default_flag = 1").agg(F.min("loan_id")).first()[0]
     assert failures(mart, loans, spoil(book, "lgd", None, one))["lgd_missing_or_out_of_range"] == failures(mart, loans, book)["lgd_missing_or_out_of_range"] + 1
+
+
+def test_each_table_is_scanned_once(spark, mart):
+    from riskloom.sources.mart_store import materialize
+    written = materialize(mart, buckets=2)
+    plan = data_quality(written.dim_loan, written.fact_loan_monthly, written.portfolio, written.fact_ecl)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation ") == 4
+    full = data_quality(written.dim_loan, written.fact_loan_monthly, written.portfolio, written.fact_ecl)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(loan_id" not in full and "Exchange hashpartitioning(_l" not in full
+
+
+def test_keys_are_counted(spark, mart, small):
+    """Repeated, orphan and unscored keys: as many failures as rows seeded."""
+    loans, book = small
+    panel, ecl = mart.fact_loan_monthly, mart.fact_ecl
+    clean = failures(mart, loans, book)
+    some = [r["loan_id"] for r in loans.select("loan_id").orderBy("loan_id").limit(3).collect()]
+    rows = panel.where(F.col("loan_id") == some[0]).count()
+    got = {r["rule"]: r["failures"] for r in data_quality(loans.where(F.col("loan_id") != some[0]).unionByName(loans.where(F.col("loan_id") == some[1])),
+                                                           panel.unionByName(panel.where(F.col("loan_id") == some[2])).unionByName(panel.limit(2).withColumn("loan_id", F.lit(None).cast("long"))),
+                                                           book, ecl.where(~F.col("loan_id").isin(some))).collect()}
+    assert got["panel_orphan_rows"] == clean["panel_orphan_rows"] + rows + 2
+    assert got["dim_loan_duplicate_id"] == clean["dim_loan_duplicate_id"] + 1
+    assert got["panel_duplicate_key"] >= clean["panel_duplicate_key"] + panel.where(F.col("loan_id") == some[2]).count()
+    assert got["unscored_loans"] == clean["unscored_loans"] + book.where(F.col("loan_id").isin(some)).count()
