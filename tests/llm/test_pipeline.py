@@ -54,3 +54,35 @@ def test_rows_are_rejected_by_row(spark, tmp_path, monkeypatch):
         monkeypatch.setattr(C, fit, lambda *a: None)
         monkeypatch.setattr(C, score, bad(*values))
         assert rows(stage(spark, frame([(5, x), (5, y), (None, y), (None, x), (6, y)]), str(tmp_path))) == sorted(map(str, [(5, x), (None, x)]))
+
+
+def test_odd_columns_texts_and_empty_tables(spark, tmp_path):
+    """Columns that clash with the stages' own, null and very long texts, repeated rows: every stage keeps the columns; empty tables stay empty."""
+    from tempfile import mkdtemp
+    for name, schema in (("documents", "doc_id long, text string"), ("labels", "doc_id long, quality int, toxic int")):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    long = " ".join(f"w{i}" for i in range(200_000))
+    rows = [(1, "a b c d", "k1"), (1, "a b c d", "k2"), (None, None, "k3"), (None, None, "k4"), (None, "", "k5"), (4, None, "k6"), (5, long, "k7"), (6, long + " w", "k8")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _text_key string").withColumn("score", F.lit(9)).withColumn("k", F.lit("x")).withColumn("of", F.lit(1))
+    docs = spark.read.parquet((lambda p: (docs.write.parquet(p), p)[1])(mkdtemp(dir=str(tmp_path)) + "/d"))
+    for stage in (C.toxicity_stage, C.quality_stage):
+        kept = stage(spark, docs, str(tmp_path))
+        assert kept.columns == docs.columns and kept.count() in (0, len(rows))
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+    kept = C.simhash_stage(spark, docs, str(tmp_path))
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["_text_key"]) for r in kept.collect())
+    assert kept.columns == docs.columns
+    # one of the equal rows 1; of the texts without words that with the id; both rows with neither id nor text; one of the long texts
+    assert [g[:2] for g in got] == [(False, 1), (False, 4), (False, 5), (True, 0), (True, 0)] and [g[2] for g in got][3:] == ["k3", "k4"]
+    assert C.simhash_stage(spark, docs.limit(0), str(tmp_path)).count() == 0 and C.packing_stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_documents_are_written_once_a_stage(spark, tmp_path, monkeypatch):
+    """No stage writes a table with the text but its result."""
+    written = []
+    from riskloom.llm import simhash as S
+    for module in (C, S):
+        real = module.write_table
+        monkeypatch.setattr(module, "write_table", lambda df, name, _real=real: (written.append((name, df.columns)), _real(df, name))[1])
+    C.run(spark, "/root/testdata/sf0.001")
+    assert [n for n, c in written if "text" in c] == ["pipeline-toxicity", "pipeline-quality", "pipeline-simhash"]
