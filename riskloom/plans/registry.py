@@ -22,6 +22,7 @@ from ..operators.score_index import build_index
 from ..session import checkpoint_dir
 from ..sources.mart_store import materialize_tpch
 from ..sources.tpch_mart import Mart, fact_loan_monthly
+from .summary import summary_rows
 
 _MARTS: dict[tuple, Mart] = {}
 
@@ -294,6 +295,14 @@ def _split_counts(spark, d):
         .orderBy("split", "label")
 
 
+def _summary(spark, d):
+    """The summary's tables on the fixed scorecards (those of fitted models are outputs of the batch job)."""
+    q = QUERIES
+    return summary_rows({"score_bands": q["m9_score_bands"](spark, d), "lgd_segment_errors": q["m15_lgd_segment_errors"](spark, d), "ecl_by_stage": q["e5_ecl_by_stage"](spark, d),
+                         "ecl_by_scenario": q["e6_ecl_by_scenario"](spark, d), "stress_scenarios": q["t1_scenario_loss"](spark, d),
+                         "stress_sensitivity": q["t4_sensitivity"](spark, d), "watchlist_top10": q["m21_ews_watchlist"](spark, d).where("rank <= 10")})
+
+
 def _split_models(spark, d):
     """The test and train rows of the three fits: number and sum of ids per stratum."""
     b = _book(spark, d).select("loan_id", "default_flag", _models.ews_target().alias("ews_target"))
@@ -308,6 +317,7 @@ def _split_models(spark, d):
 QUERIES.update({k: _wrap(v) for k, v in {
     "m1_split": _split_counts,
     "m1_split_models": _split_models,
+    "summary_tables": _summary,
     "m3_m5_pd_models": lambda spark, d: _fit("pd", spark, d).metrics,
     "m17_pd_score_book": lambda spark, d: _fit("pd", spark, d).scored,
     "m13_lgd_gbt": lambda spark, d: _fit("lgd", spark, d).metrics,

@@ -5,7 +5,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from riskloom.operators import models as Mo
-from riskloom.plans.job import run_risk_job, summary_tables
+from riskloom.plans.job import run_risk_job, summary, summary_tables
 from riskloom.sources.io import read_mart_csv, read_mart_parquet, save_metrics, save_table
 
 
@@ -43,6 +43,10 @@ def test_job_writes_every_table(spark, mart):
     tables = summary_tables(res)
     assert tables["watchlist_top10"].count() <= 10
     assert tables["lgd_top_drivers"].count() <= 6
+    rows = summary(res).collect()
+    assert {r["section"] for r in rows} == set(tables) and len(rows) == len({(r["section"], r["item"], r["measure"]) for r in rows})
+    want = {(r["band"], "n_loans"): float(r["n_loans"]) for r in tables["score_bands"].collect()}
+    assert {(r["item"], r["measure"]): r["value"] for r in rows if r["section"] == "score_bands" and r["measure"] == "n_loans"} == want
 
 
 def test_mart_from_files(spark, mart):
