@@ -11,9 +11,13 @@ longer last piece), with byte pieces for characters that no piece covers. That i
 the encoding of a unigram model. A model file of the BPE type is encoded by its library by
 merges instead, which is no best path: ``method="merge"`` does that, with the same batches, hashes
 and maxima, and gives the library's ids for such a file. Both decode to the same text.
+
+Words of more than ``LONG`` characters (a base64 blob) are searched by themselves in time about linear in their length,
+with the same results. Null and empty texts have no ids; an empty table gives an empty result; repeated rows stay.
 """
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -29,6 +33,8 @@ from .wordtable import WordTable
 MARK = "▁"
 #: bytes as they are, for word hashes
 SAME = np.arange(256, dtype=np.uint64)
+#: characters above which a word is searched by itself, and how many of its starts are probed at once
+LONG, WINDOW = 2048, 1 << 16
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -153,6 +159,84 @@ class Pieces:
             out.append(row)
         return out
 
+    def viterbi_long(self, words: list[str]) -> list[np.ndarray]:
+        """The same for long words, one by one: substrings are probed in windows of starts, and only those that are pieces are followed."""
+        return [self._viterbi_long(w) for w in words]
+
+    def _viterbi_long(self, word: str) -> np.ndarray:
+        size = len(word)
+        chars = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+        best = np.full(size + 1, -np.inf)
+        best[0] = 0
+        back, last = np.zeros(size + 1, np.int32), np.full(size + 1, -1, np.int32)
+        for at in range(0, size, WINDOW):
+            to = min(at + WINDOW, size)
+            h = chars[at:to]
+            ends, lengths, scores, ids = [], [], [], []
+            for k in range(1, min(self.longest, size - at) + 1):
+                if k > 1:
+                    h = h[: min(to, size - k + 1) - at] * BASE + chars[at + k - 1: min(to, size - k + 1) + k - 1]
+                score, piece = self._probe(h)
+                hit = np.flatnonzero((piece >= 0) if k > 1 else np.ones(len(h), bool))      # a single character always has a score
+                ends.append(at + hit + k)
+                lengths.append(np.full(len(hit), k, np.int32))
+                scores.append(np.where(piece[hit] < 0, self.unknown_score, score[hit]))
+                ids.append(piece[hit])
+            ends, lengths, scores, ids = (np.concatenate(x) for x in (ends, lengths, scores, ids))
+            # by start, so that its best score is settled; of equal totals the longer piece came first, as in the batch
+            order = np.lexsort((-lengths, ends - lengths))
+            window = best[at: min(to + self.longest, size) + 1].tolist()
+            for end, k, score, piece in zip(ends[order].tolist(), lengths[order].tolist(), scores[order].tolist(), ids[order].tolist()):
+                total = window[end - k - at] + score
+                if total > window[end - at]:
+                    window[end - at] = total
+                    back[end], last[end] = k, piece
+            best[at: at + len(window)] = window
+        out, at = [], size
+        while at:
+            out.append(self.spell(word[at - 1])[::-1] if last[at] == -1 else last[at: at + 1])
+            at -= int(back[at])
+        return np.concatenate(out)[::-1].astype(np.int32)
+
+    def merge_long(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of long words by merges, one by one: a heap of neighbours instead of a scan for each merge."""
+        return [self._merge_long(w) for w in words]
+
+    def _merge_long(self, word: str) -> np.ndarray:
+        size, mask, base = len(word), 0xFFFFFFFFFFFFFFFF, int(BASE)
+        chars = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+        scores, _ = self._probe(chars[:-1] * BASE + chars[1:])
+        heap = [(-score, i, i + 1, 2) for i, score in zip(np.flatnonzero(scores > -np.inf).tolist(), scores[scores > -np.inf].tolist())]
+        heapq.heapify(heap)
+        table = dict(zip(self.keys.tolist(), self.scores.tolist()))
+        h, length, after, before = chars.tolist(), [1] * size, list(range(1, size + 1)), list(range(-1, size - 1))
+        power: dict[int, int] = {}
+
+        def push(left: int, right: int) -> None:
+            n = length[right]
+            p = power.setdefault(n, pow(base, n, 1 << 64))
+            score = table.get((h[left] * p + h[right]) & mask)
+            if score is not None:
+                heapq.heappush(heap, (-score, left, right, length[left] + n))
+
+        while heap:
+            _, left, right, n = heapq.heappop(heap)
+            if length[left] + (length[right] if right < size else 0) != n or not length[left] or not length[right] or after[left] != right:
+                continue        # one of them has been merged since
+            h[left] = (h[left] * power.setdefault(length[right], pow(base, length[right], 1 << 64)) + h[right]) & mask
+            length[left], length[right] = n, 0
+            after[left] = after[right]
+            if after[left] < size:
+                before[after[left]] = left
+                push(left, after[left])
+            if before[left] >= 0:
+                push(before[left], left)
+        starts = np.flatnonzero(np.array(length))
+        ids = self._probe(np.array([h[i] for i in starts.tolist()], np.uint64))[1]
+        if (ids >= 0).all():
+            return ids.astype(np.int32)
+        return np.concatenate([self.spell(word[i]) if k < 0 else np.array([k], np.int32) for i, k in zip(starts.tolist(), ids.tolist())])
+
     def merge(self, words: list[str]) -> list[np.ndarray]:
         """Ids of words of one length by merges: the best-scored neighbours that join to a piece go first (ties: the left ones)."""
         n, size = len(words), len(words[0])
@@ -224,6 +308,9 @@ class Encoder:
             else:
                 by_size.setdefault(len(u), []).append(u)
         for size, group in by_size.items():
+            if size > LONG:
+                found.update(zip(group, getattr(p, f"{self.method}_long")(group)))
+                continue
             most = max(1, (1 << 20) // (size * min(size, p.longest)))
             for at in range(0, len(group), most):
                 found.update(zip(group[at: at + most], getattr(p, self.method)(group[at: at + most])))

@@ -116,3 +116,31 @@ def test_decoding(spark, method):
     for r in got:
         assert r["decoded"] == (r["text"] or "").replace("▁", " ") == sp.decode(r["ids"]) if r["ids"] else r["decoded"] == ""
     assert V.encode_pieces(df.limit(0), PIECES).count() == 0
+
+
+def _long_words():
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghiklmnoprstuvwyz01é"))
+    return ["▁" + "".join(rng.choice(letters, n)) for n in (1, 2, 3, 40, 3000)] + ["▁" + "the" * 700 + "a" * 900, "aaaaaaaaaaaaaaaa" * 200]
+
+
+def test_long_words_equal_the_batches(monkeypatch):
+    p = V.Pieces(PIECES)
+    monkeypatch.setattr(V, "WINDOW", 64)
+    for w in _long_words():
+        assert p.viterbi_long([w])[0].tolist() == p.viterbi([w])[0].tolist()
+        assert p.merge_long([w])[0].tolist() == p.merge([w])[0].tolist()
+
+
+@pytest.mark.parametrize("method", ["viterbi", "merge"])
+def test_word_of_a_megabyte(method):
+    """Time about linear in the word's length: 100,000 characters took 22 s in the batch."""
+    import time
+    rng = np.random.default_rng(9)
+    word = "".join(rng.choice(np.array(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/")), 1_000_000))
+    enc, t = V.Encoder(PIECES, method), time.perf_counter()
+    (_, ids), = enc(pa.array([word]))
+    assert time.perf_counter() - t < 60     # measured: README
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    assert sp.decode(ids.tolist()) == word
+    print(method, round(time.perf_counter() - t, 1))
