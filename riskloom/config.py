@@ -1,8 +1,9 @@
 """Frozen risk parameters.
 
-Fixed values that must equal the reference model for identical results
-(thresholds, scenario table, PD bands, sector and region names, scorecard
-coefficients). They are stated once here and nowhere else.
+Fixed values that must equal the reference model for identical results: thresholds, scenario table, PD
+bands, sector names, feature lists and sector coefficients. The slopes of the scorecards stand in
+``operators/portfolio.py``, the watch score's weights in ``operators/watchlist.py``, and the SQL twins state what they compare
+with once more.
 """
 from __future__ import annotations
 
@@ -79,6 +80,7 @@ MONITOR_TRIGGERS = (
 class RiskConfig:
     """All tunable assumptions in one frozen object."""
 
+    # fixed values as above: thresholds of staging, discounting, policy, watchlist and concentration
     lifetime_horizon_years: int = 5
     stage2_pd_threshold: float = 0.15
     stage2_dpd_threshold: int = 30

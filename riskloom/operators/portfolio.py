@@ -129,13 +129,3 @@ def build_portfolio(dim_loan: DataFrame, panel: DataFrame, ages: DataFrame | Non
                     "avg_utilization_12m", "max_utilization_12m", "utilization_trend",
                     "missed_payments_12m", "max_dpd_12m", "avg_dpd_12m", "current_dpd",
                     "ead", "true_pd", "default_flag", "lgd", "as_of_date")
-
-
-def pd_scores(portfolio: DataFrame) -> DataFrame:
-    """Score frame (loan_id, pd_hat) of the PD scorecard."""
-    return portfolio.select("loan_id", scorecard_pd().alias("pd_hat"))
-
-
-def lgd_scores(portfolio: DataFrame) -> DataFrame:
-    """Score frame (loan_id, lgd_hat) of the LGD scorecard."""
-    return portfolio.select("loan_id", scorecard_lgd().alias("lgd_hat"))
