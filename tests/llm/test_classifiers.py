@@ -81,3 +81,17 @@ def test_features_are_shares_of_plain_ngrams():
     which, place, weight = Q.features(raw, np.array([0, len(raw)]), 18)
     assert (which == 0).all() and weight.sum() == pytest.approx(Q.FAMILIES)
     assert len(place) == 5 + 4 + 7 + 6 + 5  # words, pairs, shapes of 1, 2, 3 tokens
+
+
+def test_label_sample_is_the_smallest_hashes(spark):
+    """The cut by hash keeps the sample what ordering all labelled rows gives."""
+    from riskloom.llm.common import hash_cut, held_out, label_sample
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"))
+    labels = spark.range(6000).repartition(8).select(F.col("id").alias("doc_id"), (F.col("id") % 3 == 0).cast("int").alias("toxic"))
+    for most in (50, 700, 10_000):
+        got, n = label_sample(docs, labels, "toxic", most)
+        want = [r[0] for r in labels.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id").collect()]
+        assert sorted(r["doc_id"] for r in got.collect()) == sorted(want) and n == len(want)
+    passed = labels.where(F.xxhash64("doc_id") <= hash_cut(6000, 500)).count()
+    assert 500 < passed < 1500
+    assert label_sample(docs, labels.limit(0), "toxic", 10)[1] == 0
