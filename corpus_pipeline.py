@@ -79,8 +79,10 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     members = rows.groupBy("k", "doc_id").agg(F.count(F.lit(1)).alias("n")).join(marks, "k")
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "fp", "k")
     members = write_table(members.select("k", "doc_id", "n", "of", rank.alias("rank"), (F.col("fp") != F.col("last")).alias("shared")), "simhash-members")
-    firsts = members.groupBy("of").agg(F.min("rank").alias("first"))
-    placed = members.where("NOT shared").join(firsts, "of").withColumn("is_first", F.col("rank") == F.col("first"))
+    # members meet the first rows by their own key, not by their group, which may be large
+    firsts = members.groupBy("of").agg(F.min("rank").alias("first")).select(F.col("first.k").alias("first_k"), F.col("first.doc_id").alias("first_id"))
+    mine = (F.col("k") == F.col("first_k")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    placed = members.where("NOT shared").join(firsts, mine, "left").withColumn("is_first", F.col("first_k").isNotNull())
     decided = write_table(placed.where("NOT is_first OR n > 1").select(F.col("k").alias("gone_k"), F.col("doc_id").alias("gone_id"), "is_first"), "simhash-decided")
     keyed = docs.withColumn(name, key)
     same = (F.col(name) == F.col("gone_k")) & F.col("doc_id").eqNullSafe(F.col("gone_id"))
