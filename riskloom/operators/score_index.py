@@ -60,7 +60,8 @@ class ScoreIndex:
 
     def psi(self) -> DataFrame:
         """Stability of the bands, test against train: one row ``psi``."""
-        return psi_shares(self.bands.where("split = 'train'"), self.bands.where("split = 'test'"), "band", "n")
+        of = lambda split: self.bands.where(F.col("split") == split).groupBy("band").agg(F.sum("n").alias("n"))
+        return psi_shares(of("train"), of("test"), "band", "n")
 
     def monitor_metrics(self) -> DataFrame:
         """(roc_auc, brier, psi), one row: one pass over each table."""
