@@ -113,3 +113,20 @@ def test_empty_panel(spark, lazy):
     empty = Mart(dim_loan=lazy.dim_loan, fact_loan_monthly=lazy.fact_loan_monthly.limit(0), panel_raw=lazy.panel_raw.limit(0), dim_scenario=lazy.dim_scenario, cfg=lazy.cfg)
     mart = materialize(empty, buckets=2)
     assert mart.recent(6).count() == 0 and mart.portfolio.count() == 0
+
+
+def test_buckets_follow_the_rows(spark, mart, monkeypatch):
+    """Without a given number a bucket holds a bounded number of rows, each table has one file per bucket (and period), and the rows are the same."""
+    from riskloom.sources import mart_store
+    monkeypatch.setattr(mart_store, "BUCKET_ROWS", 500)
+    many = mart_store.materialize_tpch(spark, SF001)
+    lines = spark.read.parquet(f"{SF001}/lineitem.parquet").count()
+    n = -(-lines // 500)
+    assert n > 8
+    for name in ("panel_raw", "portfolio", "fact_ecl"):
+        got, want = getattr(many, name), getattr(mart, name)
+        cols = [c for c in want.columns if c != "period"]
+        assert sorted(map(tuple, got.select(*cols).collect()), key=str) == sorted(map(tuple, want.select(*cols).collect()), key=str)
+        buckets = [os.path.basename(f).split("_")[1].split(".")[0] for f in got.inputFiles()]
+        assert max(map(int, buckets)) >= 8 and len(buckets) <= n * (1 if name != "panel_raw" else got.select("period").distinct().count())
+    assert spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") == "true"

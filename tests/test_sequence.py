@@ -79,3 +79,14 @@ def test_panel_queries_hot_path_match(spark, mart):
     p = mart.fact_loan_monthly
     for fn in (roll_matrix, stage_matrix, forward_cure):
         assert sorted(fn(p).collect()) == sorted(fn(p, hot).collect()), fn.__name__
+
+
+def test_hot_keys_among_shared_hashes(spark, monkeypatch):
+    """Rows are counted per hash first; keys that only share a hash with others are not hot."""
+    from riskloom.operators import sequence
+    rows = spark.createDataFrame([(k,) for k in range(50) for _ in range(3)] + [(7,)] * 10 + [(None,)] * 20, "k long")
+    for hashes in (1, 4, 1 << 18):
+        monkeypatch.setattr(sequence, "HASHES", hashes)
+        hot, n = sequence.hot_keys(rows, "k", RiskConfig(hot_key_rows=9))
+        assert n == 2 and {r["k"] for r in hot.collect()} == {7, None}
+        assert sequence.hot_keys(rows, "k", RiskConfig(hot_key_rows=20)) is None
