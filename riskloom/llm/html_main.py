@@ -1,17 +1,17 @@
-"""Main text of web pages by a suffix array over the pages of a host.
+"""Main text of web pages by sorted suffixes over the pages of a host.
 
 Pages are cut into blocks (runs of text between block tags), each with the structure it stands
-in. The token streams of a host's distinct pages are concatenated, and a suffix array of
-depth ``min_tokens`` (rank doubling, vectorised) finds every substring of at least that many tokens and on how many distinct pages it
-stands. A token is common where such a substring is on a large share of them; how large, the block's structure says: a quarter
+in. Substrings of ``min_tokens`` tokens are sorted as the suffixes of a section of the host's distinct pages, cut at that depth, and those on a large share
+of a section's pages are counted over all pages of the host: a substring on a share of the host's pages is on that share of some section's. A token is
+common where such a substring is on a large share of the host's pages; how large, the block's structure says: a quarter
 (``open_share``) of the pages outside articles, half (``article_share``) inside an article, where passages that some pages quote are main
 text. Blocks covered by common tokens are boilerplate and removed, wherever they stand; so is what is marked
 as a menu, header, footer, sidebar, notice, advert, form or comment. The unique runs of the article that stay are the text, and those outside it
 too where the article's part is small (teaser cards) or there is none. Marked parts are left out of the token streams.
 
 Pages of a host with equal html are one page, parsed and compared once, whose text all its rows get: copies do not
-make each other boilerplate. A host is dealt by a hash of the html over sections of about ``shard_pages`` distinct pages and
-``shard_bytes`` bytes, so that no host meets whole in one task; shares are those of the page's section, a random part of the host.
+make each other boilerplate. A host is dealt by a hash of the blocks over sections of about ``shard_pages`` distinct pages or
+``shard_bytes`` bytes (a dozen pages at least), so that no host meets whole in one task; the sections decide nothing of the result.
 """
 from __future__ import annotations
 
@@ -228,8 +228,10 @@ def _token_hashes(texts: list[str]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(x) & 0x7FFFFFFFFFFFFFFF for t in texts for x in t.split(" ")), np.int64)
 
 
+#: writer options for tables of whole texts
+SMALL = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
 #: columns that a page keeps on its way
-CARRIED = ("section", "host", "h1", "h2", "many", "page_id", "url")
+CARRIED = ("section", "sections", "host", "h1", "h2", "many", "page_id", "url")
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,30 +244,66 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if total >= 4 << 20 or i + 1 == len(sizes):
                 part = b.slice(at, i + 1 - at)
                 blocks = [[(z, x) for z, x in iter_blocks(t) if z != DROPPED] for t in part.column("html").to_pylist()]
-                zones = pa.array([[z for z, _ in p] for p in blocks], pa.list_(pa.int32()))
-                texts = pa.array([[t for _, t in p] for p in blocks], pa.list_(pa.string()))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in CARRIED), zones, texts], names=[*CARRIED, "zones", "texts"])
+                # one string each (a block holds no line feed, its white space is spaces): smaller than lists on the way
+                zones = pa.array(["".join(str(z) for z, _ in p) for p in blocks], pa.string())
+                texts = pa.array(["\n".join(t for _, t in p) for p in blocks], pa.string())
+                # pages with equal blocks are one page: they go to one section
+                section = pa.array([xxhash.xxh64_intdigest("\0".join(t for _, t in p)) % n for p, n in zip(blocks, part.column("sections").to_pylist())], pa.int32())
+                yield pa.RecordBatch.from_arrays([section, *(part.column(c) for c in CARRIED[1:]), zones, texts], names=[*CARRIED, "zones", "texts"])
                 at, total = i + 1, 0
 
 
-def common_share(pages: list[list[str]], needs: list[list[int]], min_tokens: int) -> list[list[float]]:
-    """For each block of each page, the share of its tokens in runs on at least ``needs`` of the distinct pages."""
-    first = {}
-    numbers = [first.setdefault(tuple(p), i) for i, p in enumerate(pages)]        # pages with equal blocks are one page
+def window_hashes(tokens: np.ndarray, page: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, 64-bit hash) of every substring of ``depth`` tokens that lies on one page."""
+    n = len(tokens) - depth + 1
+    if n < 1:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    t, h = tokens.view(np.uint64), np.zeros(n, np.uint64)
+    for k in range(depth):
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + t[k: n + k]
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    at = np.flatnonzero(page[:n] == page[depth - 1:])
+    return at, (h ^ (h >> np.uint64(31))).view(np.int64)[at]
+
+
+def _blocks(texts: pa.Array) -> list[list[str]]:
+    return [t.split("\n") if t else [] for t in texts.to_pylist()]
+
+
+def section_candidates(pages: list[list[str]], min_tokens: int, share: float, least: int) -> tuple[list[bool], np.ndarray]:
+    """Which pages are the first with their blocks, and the substrings on at least ``share`` of these pages and on ``least``."""
+    first: dict[tuple, int] = {}
+    for i, p in enumerate(pages):
+        if p:
+            first.setdefault(tuple(p), i)
     distinct = sorted(first.values())
-    sizes = [[t.count(" ") + 1 for t in p] for p in pages]
-    tokens = _token_hashes([t for i in distinct for t in pages[i]])
-    of_page = np.repeat(distinct, [sum(sizes[i]) for i in distinct])
-    most = run_counts(tokens, of_page, min_tokens)
-    starts = dict(zip(distinct, np.concatenate(([0], np.cumsum([sum(sizes[i]) for i in distinct])))))
-    out = []
-    for i, number in enumerate(numbers):
-        at, shares = starts[number], []
-        for n, need in zip(sizes[i], needs[i]):
-            shares.append(float((most[at: at + n] >= need).mean()))
-            at += n
-        out.append(shares)
-    return out
+    runs_of = [_token_hashes(pages[i]) for i in distinct]
+    tokens = np.concatenate([np.empty(0, np.int64), *runs_of])
+    page = np.repeat(np.arange(len(distinct)), [len(t) for t in runs_of])
+    at, h = window_hashes(tokens, page, min_tokens)
+    order = np.lexsort((page[at], h))
+    h, of = h[order], page[at][order]
+    once = np.ones(len(h), bool)
+    once[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
+    found, n = np.unique(h[once], return_counts=True)
+    chosen = set(distinct)
+    return [i in chosen for i in range(len(pages))], found[n >= max(least, share * len(distinct))]
+
+
+def common_share(blocks: list[str], needs: list[float], min_tokens: int, windows: np.ndarray, totals: np.ndarray) -> list[float]:
+    """For each block of a page, the share of its tokens in substrings on at least ``needs`` pages (``windows`` ascending, with the pages of each)."""
+    sizes = [t.count(" ") + 1 for t in blocks]
+    if not len(windows):
+        return [0.0] * len(blocks)
+    tokens = _token_hashes(blocks)
+    most, count = np.zeros(len(tokens), np.int64), np.zeros(len(tokens), np.int64)
+    at, h = window_hashes(tokens, np.zeros(len(tokens), np.int8), min_tokens)
+    place = np.minimum(np.searchsorted(windows, h), len(windows) - 1)
+    count[at] = np.where(windows[place] == h, totals[place], 0)
+    for k in range(min(min_tokens, len(tokens))):
+        np.maximum(most[k:], count[: len(count) - k], out=most[k:])
+    ends = np.cumsum(sizes)
+    return [float((most[to - n: to] >= need).mean()) for to, n, need in zip(ends.tolist(), sizes, needs)]
 
 
 def kept_blocks(zones: list[int], sizes: list[int], shares: list[float], covered_share: float, small_part: float) -> list[bool]:
@@ -277,26 +315,54 @@ def kept_blocks(zones: list[int], sizes: list[int], shares: list[float], covered
     return [f and (z == ARTICLE or open_too) for z, f in zip(zones, fresh)]
 
 
-def section_texts(zones: list[list[int]], texts: list[list[str]], min_tokens: int, covered_share: float, open_share: float, article_share: float, small_part: float) -> list[str]:
-    """The main texts of the pages of a section."""
-    distinct = len({tuple(p) for p in texts if p})
-    need = {ARTICLE: max(5, int(np.ceil(article_share * distinct))), OPEN: max(3, int(np.ceil(open_share * distinct)))}
-    shares = common_share(texts, [[need.get(z, distinct + 1) for z in zs] for zs in zones], min_tokens)
-    out = []
-    for zs, ts, ss in zip(zones, texts, shares):
-        kept = kept_blocks(zs, [t.count(" ") + 1 for t in ts], ss, covered_share, small_part)
-        out.append("\n".join(t for t, k in zip(ts, kept) if k))
-    return out
-
-
-def _extract(min_tokens: int, covered_share: float, open_share: float, article_share: float, small_part: float):
+def _sections(min_tokens: int, share: float):
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tab in runs(batches, ["section", "host"], 512):
             bounds = group_bounds(tab, ["section", "host"])
             for at, to in zip(bounds, bounds[1:]):
-                part = tab.slice(int(at), int(to - at))
-                out = section_texts(part.column("zones").to_pylist(), part.column("texts").to_pylist(), min_tokens, covered_share, open_share, article_share, small_part)
-                yield pa.RecordBatch.from_arrays([*(part.column(c).combine_chunks() for c in CARRIED[1:]), pa.array(out, pa.string())], names=[*CARRIED[1:], "text"])
+                part = tab.slice(int(at), int(to - at)).combine_chunks()
+                # where a host is one section its counts are final, and fewer than three pages are never enough
+                first, near = section_candidates(_blocks(part.column("texts")), min_tokens, share, 3 if part.column("sections")[0].as_py() == 1 else 1)
+                near_col = pa.array([near.tolist()] + [None] * (part.num_rows - 1), pa.list_(pa.int64()))
+                yield from pa.table([*(part.column(c) for c in CARRIED[2:]), part.column("zones"), part.column("texts"), pa.array(first), near_col],
+                                    names=[*CARRIED[2:], "zones", "texts", "first", "near"]).to_batches()
+    return fn
+
+
+def _per_host(column: pa.Array, hosts: list, i: int, held: dict):
+    """The list of row ``i`` as an array, kept while rows of one host follow each other."""
+    if held.get("host") != hosts[i]:
+        v = column[i]
+        held["host"], held["at"] = hosts[i], v.values.to_numpy() if v.is_valid else np.empty(0, np.int64)
+    return held["at"]
+
+
+def _count(min_tokens: int):
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hosts, held, seen = b.column("host").to_pylist(), {}, {}
+            for i, texts in enumerate(_blocks(b.column("texts"))):
+                near = _per_host(b.column("near"), hosts, i, held)
+                tokens = _token_hashes(texts)
+                seen.setdefault(hosts[i], []).append(np.intersect1d(window_hashes(tokens, np.zeros(len(tokens), np.int8), min_tokens)[1], near))
+            for host, parts in seen.items():
+                window, n = np.unique(np.concatenate(parts), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([host] * len(window), pa.int64()), pa.array(window), pa.array(n, pa.int64())], names=["host", "window", "n"])
+    return fn
+
+
+def _extract(min_tokens: int, covered_share: float, open_share: float, article_share: float, small_part: float):
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hosts, pages, out = b.column("host").to_pylist(), b.column("pages").to_pylist(), []
+            windows, totals = {}, {}
+            for i, (zones, texts) in enumerate(zip(b.column("zones").to_pylist(), _blocks(b.column("texts")))):
+                zones = [int(z) for z in zones]
+                need = {ARTICLE: max(5, np.ceil(article_share * (pages[i] or 0))), OPEN: max(3, np.ceil(open_share * (pages[i] or 0)))}
+                shares = common_share(texts, [need[z] for z in zones], min_tokens, _per_host(b.column("windows"), hosts, i, windows), _per_host(b.column("totals"), hosts, i, totals))
+                kept = kept_blocks(zones, [t.count(" ") + 1 for t in texts], shares, covered_share, small_part)
+                out.append("\n".join(t for t, k in zip(texts, kept) if k))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in CARRIED[2:]), pa.array(out, pa.string())], names=[*CARRIED[2:], "text"])
     return fn
 
 
@@ -317,7 +383,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     key = ["host", "h1", "h2"]
     # one narrow row per distinct page of a host
     known = write_table(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"), F.max(F.octet_length("html")).alias("bytes")), "page-contents")
-    sections = known.groupBy("host").agg(F.greatest(F.ceil(F.count(F.lit(1)) / shard_pages), F.ceil(F.sum("bytes") / shard_bytes)).cast("int").alias("sections"))
+    sections = known.groupBy("host").agg(F.greatest(F.ceil(F.count(F.lit(1)) / shard_pages), F.least(F.ceil(F.sum("bytes") / shard_bytes), F.ceil(F.count(F.lit(1)) / 12))).cast("int").alias("sections"))
     large = write_table(sections.where("sections > 1"), "large-hosts")
     copies = known.where("copies > 1").select(*key, F.lit(True).alias("many"))
     any_copies = copies.limit(1).count() > 0
@@ -328,11 +394,22 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         none = F.lit(None)
         once = marked.where(F.col("many").isNull()).withColumn("many", F.lit(False)).unionByName(
             marked.where("many").dropDuplicates(key).withColumns({"page_id": none.cast("long"), "url": none.cast("string")}))
-    spread = once.join(bounded_hint(large), "host", "left").withColumn("section", F.pmod("h1", F.coalesce("sections", F.lit(1))).cast("int"))
-    carried = "section int, host long, h1 long, h2 long, many boolean, page_id long, url string"
-    parsed = arrow_map(spread.select(*CARRIED, "html"), _parse, f"{carried}, zones array<int>, texts array<string>")
+    spread = once.join(bounded_hint(large), "host", "left").withColumn("sections", F.coalesce("sections", F.lit(1)))
+    carried = "section int, sections int, host long, h1 long, h2 long, many boolean, page_id long, url string"
+    kept = carried.partition("host ")[1] + carried.partition("host ")[2]
+    parsed = arrow_map(spread.select(*CARRIED[1:], "html"), _parse, f"{carried}, zones string, texts string")
     dealt = parsed.repartition("host", "section").sortWithinPartitions("section", "host", "h1", "h2")
-    found = arrow_map(dealt, _extract(min_tokens, covered_share, open_share, article_share, small_part), f"{carried.partition(', ')[2]}, text string")
+    blocks = write_table(arrow_map(dealt, _sections(min_tokens, min(open_share, article_share)), f"{kept}, zones string, texts string, first boolean, near array<long>"), "page-blocks", options=SMALL)
+    # a substring on a share of the host's pages is on that share of some section's: only these are counted over the host
+    near = blocks.where("size(near) > 0").select("host", F.explode("near").alias("w")).groupBy("host").agg(F.sort_array(F.collect_set("w")).alias("near"))
+    counted = arrow_map(blocks.where("first").select("host", "texts").join(bounded_hint(near), "host"), _count(min_tokens), "host long, window long, n long")
+    totals = counted.groupBy("host", "window").agg(F.sum("n").alias("n"))
+    sizes = blocks.where("first").groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    least = F.least(F.greatest(F.lit(5), F.ceil(F.lit(article_share) * F.col("pages"))), F.greatest(F.lit(3), F.ceil(F.lit(open_share) * F.col("pages"))))
+    common = totals.join(sizes, "host").where(F.col("n") >= least).groupBy("host", "pages").agg(F.sort_array(F.collect_list(F.struct("window", "n"))).alias("c"))
+    common = write_table(common.select("host", "pages", F.col("c.window").alias("windows"), F.col("c.n").alias("totals")), "common-windows")
+    found = arrow_map(blocks.join(bounded_hint(common), "host", "left").select(*CARRIED[2:], "zones", "texts", "pages", "windows", "totals"),
+                      _extract(min_tokens, covered_share, open_share, article_share, small_part), f"{kept}, text string")
     if any_copies:
         found = write_table(found, "page-texts")        # read twice: by page, and for the rows of a page that has copies
         mine = marked.where("many").select("page_id", "url", *key).join(found.where("many").select(*key, "text"), key).select("page_id", "url", "text")

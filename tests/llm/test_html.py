@@ -173,3 +173,16 @@ def test_very_long_page_and_empty(spark):
     got = dict(texts_of(spark, rows))
     assert got[1].count("\n") == 19_999 and (got[2], got[3]) == ("", "")
     assert texts_of(spark, []) == []
+
+
+def test_sections_do_not_change_the_result(spark):
+    """Shares are those of the whole host, however many sections it is dealt over: runs near the thresholds, in and outside articles."""
+    rows = []
+    for i in range(240):
+        shown = [f"<div>{words(f'q{k}', 12)}</div>" for k in range(40) if (i * 7 + k) % 240 < 50 + k // 2]
+        inner = "".join(f"<p>{words(f'a{k}', 12)}</p>" for k in range(20) if (i * 11 + k) % 240 < 110 + k)
+        rows.append((i, "http://h.example/", f"<body>{''.join(shown)}<div>{words(f'o{i}', 15)}</div></body>" if i % 2 else page(f"<p>{words(f's{i}', 9)}</p>{inner}")))
+    rows += [(1000 + i, "http://h.example/", rows[i][2] + f"<!-- {i} -->") for i in range(60)]        # equal blocks, other html
+    want = sorted(zip([r[0] for r in rows], brute_texts([r[2] for r in rows])), key=str)
+    for how in ({}, {"shard_pages": 16}, {"shard_pages": 61}, {"shard_bytes": 20_000}):
+        assert texts_of(spark, rows, **how) == want, how
