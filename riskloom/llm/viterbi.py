@@ -292,11 +292,17 @@ class Pieces:
         return [x for w in words for x in self.strange.split(w) if x]
 
 
+@cache
+def pieces(path: str) -> Pieces:
+    """The pieces of a model file, read once by a Python worker."""
+    return Pieces(path)
+
+
 class Encoder:
     """Ids of texts; words not seen before are searched in groups of one length."""
 
     def __init__(self, path: str, method: str = "viterbi"):
-        self.pieces, self.method, self.table = Pieces(path), method, WordTable(self._encode_words)
+        self.pieces, self.method, self.table = pieces(path), method, WordTable(self._encode_words)
         self.apart = bool(self.pieces.strange.fullmatch("\n"))
 
     def _encode_words(self, words: list[str]) -> list[np.ndarray]:
@@ -334,11 +340,9 @@ class Encoder:
             starts = np.flatnonzero(change[:-1])
             ids, ends = self.table(data, starts, np.diff(np.append(starts, len(data))), SAME)
             cuts = ends[np.searchsorted(starts, bounds)]
-            marks = np.zeros(len(data) + 1, np.int64)
-            if len(data) > 2:  # a written word-start mark may join with the space after it
-                marks[1:-2] = np.cumsum((data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81))
-                marks[-2:] = marks[-3]
-            marked = np.diff(marks[bounds]) > 0
+            # a written word-start mark may join with the space after it
+            marks = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81))
+            marked = np.diff(np.searchsorted(marks, bounds)) > 0
             for i in range(len(bounds) - 1):
                 if marked[i]:
                     yield at + i, self._encode_words([data[bounds[i]: bounds[i + 1]].tobytes().decode()])[0]
@@ -357,7 +361,7 @@ def _list_array(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, np.concatenate(parts) if parts else np.empty(0, np.int32))
 
 
-def _cut(batch: pa.RecordBatch, column: str, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def _cut(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about ``most`` elements (bytes or ids) of a column."""
     col = batch.column(column)
     col = col.cast(pa.binary()) if pa.types.is_string(col.type) else col
@@ -372,14 +376,20 @@ def _cut(batch: pa.RecordBatch, column: str, most: int = 1 << 22) -> Iterator[pa
         yield batch.slice(at)
 
 
+def _parts(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of all batches; memory that a batch has freed goes back before the next is read, or each worker keeps it."""
+    for b in batches:
+        yield from _cut(b, column, most)
+        pa.default_memory_pool().release_unused()
+
+
 def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", method: str = "viterbi") -> DataFrame:
     """(id_col, text, ids array<int>) per row, by the ``viterbi`` search or by ``merge``. A null or empty text has no ids; repeated rows and null ids keep their rows; other columns are ignored."""
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(model_path, method)
-        for whole in batches:
-            for b in _cut(whole, "text"):
-                ids = [part for _, part in encode(b.column("text"))]
-                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text"), _list_array(ids)], names=["id", "text", "ids"])
+        for b in _parts(batches, "text", 1 << 22):
+            ids = [part for _, part in encode(b.column("text"))]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text"), _list_array(ids)], names=["id", "text", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return arrow_map(rows, fn, "id long, text string, ids array<int>").withColumnRenamed("id", id_col)
@@ -393,20 +403,19 @@ def decode_pieces(rows: DataFrame, model_path: str, ids_col: str = "ids", out_co
     at = rows.columns.index(ids_col)
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = encoder(model_path, "viterbi").pieces
-        for whole in batches:
-            for b in _cut(whole, ids_col):
-                texts = []
-                for v in b.column(at):
-                    if not v.is_valid:
-                        texts.append(None)
-                        continue
-                    ids = v.values.to_numpy()
-                    if len(ids) and (ids.min() < 0 or ids.max() >= p.size):
-                        raise ValueError("an id outside the model")
-                    text = b"".join(map(p.as_bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
-                    texts.append(text[1:] if p.dummy_prefix and text[:1] == " " else text)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, out_col])
+        p = pieces(model_path)
+        for b in _parts(batches, ids_col, 1 << 20):
+            texts = []
+            for v in b.column(at):
+                if not v.is_valid:
+                    texts.append(None)
+                    continue
+                ids = v.values.to_numpy()
+                if len(ids) and (ids.min() < 0 or ids.max() >= p.size):
+                    raise ValueError("an id outside the model")
+                text = b"".join(map(p.as_bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
+                texts.append(text[1:] if p.dummy_prefix and text[:1] == " " else text)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, out_col])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     return arrow_map(rows, fn, f"{schema}, `{out_col}` string")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import token_files as T
 from riskloom.llm import viterbi as V
+from riskloom.llm import wordtable as W
 from riskloom.llm.common import scratch_path
 from riskloom.llm.queries import op5_token_files, tokenizer_file
 
@@ -144,3 +145,45 @@ def test_word_of_a_megabyte(method):
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     assert sp.decode(ids.tolist()) == word
     print(method, round(time.perf_counter() - t, 1))
+
+
+def _spans(words):
+    data = np.frombuffer("".join(words).encode(), np.uint8)
+    sizes = np.array([len(w.encode()) for w in words])
+    return data, np.cumsum(sizes) - sizes, sizes, V.SAME
+
+
+def test_word_table_forgets_words_met_once():
+    """Bounded whatever the vocabulary; frequent words are encoded once (all were forgotten together before)."""
+    seen = []
+    table = W.WordTable(lambda words: seen.extend(words) or [np.arange(len(w), dtype=np.int32) for w in words], most=100)
+    often = [f" common{k}" for k in range(10)]
+    for i in range(40):
+        words = [w for k in range(50) for w in (f" new{i}-{k}", often[k % 10])]
+        ids, ends = table(*_spans(words))
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [list(range(len(w))) for w in words]
+        assert len(table) <= 100 + 60 and len(table.ids) <= 160 * 10
+    assert sorted(w for w in seen if "common" in w) == often
+
+
+def test_word_table_of_a_worker_is_bounded():
+    """All words new, with the bound that the encoders use: a million words were held before."""
+    enc = V.Encoder(PIECES, "merge")
+    table = W.WordTable(lambda words: [np.zeros(1, np.int32)] * len(words), enc.table.most)
+    for at in range(0, 1_000_000, 50_000):
+        table(*_spans([f" {k}" for k in range(at, at + 50_000)]))
+    assert len(table) <= 650_000
+
+
+def test_span_hashes_by_blocks(monkeypatch):
+    words = [f" w{k}" for k in range(300)] + [" " + "x" * 5000, " y"] + [" z" * k for k in range(1, 60)] + [" " + "q" * 2000]
+    whole = W.span_hashes(*_spans(words)).tolist()
+    assert len(set(whole)) == len(words)
+    for block in (W.LONG, 100, 1000, 1 << 20):
+        monkeypatch.setattr(W, "BLOCK", block)
+        assert W.span_hashes(*_spans(words)).tolist() == whole
+
+
+def test_decoder_shares_the_pieces():
+    """One copy of the model a worker, whatever the method that encoded."""
+    assert V.encoder(PIECES, "merge").pieces is V.encoder(PIECES, "viterbi").pieces
