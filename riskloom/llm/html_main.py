@@ -244,12 +244,14 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if total >= 4 << 20 or i + 1 == len(sizes):
                 part = b.slice(at, i + 1 - at)
                 blocks = [[(z, x) for z, x in iter_blocks(t) if z != DROPPED] for t in part.column("html").to_pylist()]
-                # one string each (a block holds no line feed, its white space is spaces): smaller than lists on the way
+                # one string each (a block holds no line feed, its white space is spaces), packed: the shuffle's own codec leaves half as much again
                 zones = pa.array(["".join(str(z) for z, _ in p) for p in blocks], pa.string())
-                texts = pa.array(["\n".join(t for _, t in p) for p in blocks], pa.string())
+                raw = ["\n".join(t for _, t in p).encode() for p in blocks]
+                sizes_of = pa.array([len(t) for t in raw], pa.int32())
+                packed = pa.array([pa.compress(t, "zstd", asbytes=True) for t in raw], pa.binary())
                 # pages with equal blocks are one page: they go to one section
                 section = pa.array([xxhash.xxh64_intdigest("\0".join(t for _, t in p)) % n for p, n in zip(blocks, part.column("sections").to_pylist())], pa.int32())
-                yield pa.RecordBatch.from_arrays([section, *(part.column(c) for c in CARRIED[1:]), zones, texts], names=[*CARRIED, "zones", "texts"])
+                yield pa.RecordBatch.from_arrays([section, *(part.column(c) for c in CARRIED[1:]), zones, sizes_of, packed], names=[*CARRIED, "zones", "size", "packed"])
                 at, total = i + 1, 0
 
 
@@ -266,6 +268,11 @@ def window_hashes(tokens: np.ndarray, page: np.ndarray, depth: int) -> tuple[np.
     return at, (h ^ (h >> np.uint64(31))).view(np.int64)[at]
 
 
+def _unpacked(sizes: pa.Array, packed: pa.Array) -> pa.Array:
+    """The pages' blocks as ``_parse`` packed them."""
+    return pa.array([pa.decompress(p, n, "zstd", asbytes=True) for n, p in zip(sizes.to_pylist(), packed.to_pylist())], pa.binary()).cast(pa.string())
+
+
 def _blocks(texts: pa.Array) -> list[list[str]]:
     return [t.split("\n") if t else [] for t in texts.to_pylist()]
 
@@ -321,10 +328,11 @@ def _sections(min_tokens: int, share: float):
             bounds = group_bounds(tab, ["section", "host"])
             for at, to in zip(bounds, bounds[1:]):
                 part = tab.slice(int(at), int(to - at)).combine_chunks()
+                texts = _unpacked(part.column("size"), part.column("packed"))
                 # where a host is one section its counts are final, and fewer than three pages are never enough
-                first, near = section_candidates(_blocks(part.column("texts")), min_tokens, share, 3 if part.column("sections")[0].as_py() == 1 else 1)
+                first, near = section_candidates(_blocks(texts), min_tokens, share, 3 if part.column("sections")[0].as_py() == 1 else 1)
                 near_col = pa.array([near.tolist()] + [None] * (part.num_rows - 1), pa.list_(pa.int64()))
-                yield from pa.table([*(part.column(c) for c in CARRIED[2:]), part.column("zones"), part.column("texts"), pa.array(first), near_col],
+                yield from pa.table([*(part.column(c) for c in CARRIED[2:]), part.column("zones"), texts, pa.array(first), near_col],
                                     names=[*CARRIED[2:], "zones", "texts", "first", "near"]).to_batches()
     return fn
 
@@ -397,7 +405,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     spread = once.join(bounded_hint(large), "host", "left").withColumn("sections", F.coalesce("sections", F.lit(1)))
     carried = "section int, sections int, host long, h1 long, h2 long, many boolean, page_id long, url string"
     kept = carried.partition("host ")[1] + carried.partition("host ")[2]
-    parsed = arrow_map(spread.select(*CARRIED[1:], "html"), _parse, f"{carried}, zones string, texts string")
+    parsed = arrow_map(spread.select(*CARRIED[1:], "html"), _parse, f"{carried}, zones string, size int, packed binary")
     dealt = parsed.repartition("host", "section").sortWithinPartitions("section", "host", "h1", "h2")
     blocks = write_table(arrow_map(dealt, _sections(min_tokens, min(open_share, article_share)), f"{kept}, zones string, texts string, first boolean, near array<long>"), "page-blocks", options=SMALL)
     # a substring on a share of the host's pages is on that share of some section's: only these are counted over the host

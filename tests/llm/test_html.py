@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from riskloom.llm import html_main as H
@@ -186,3 +187,18 @@ def test_sections_do_not_change_the_result(spark):
     want = sorted(zip([r[0] for r in rows], brute_texts([r[2] for r in rows])), key=str)
     for how in ({}, {"shard_pages": 16}, {"shard_pages": 61}, {"shard_bytes": 20_000}):
         assert texts_of(spark, rows, **how) == want, how
+
+
+def test_blocks_are_packed_on_the_way():
+    """What a parsed page takes to the shuffle: its blocks compressed (whole before), and they come back as they were."""
+    rng = np.random.default_rng(3)
+    known = ["".join(rng.choice(list("abcdefghijklmnoprstuvé"), rng.integers(2, 9))) for _ in range(800)]
+    stories = ["\n".join(" ".join(rng.choice(known, 60)) for _ in range(8)) for _ in range(40)] + ["", "x"]
+    htmls = ["".join(f"<p>{x}</p>" for x in t.split("\n")) for t in stories]
+    n = len(htmls)
+    one = pa.array([1] * n, pa.int64())
+    batch = pa.RecordBatch.from_arrays([pa.array([7] * n, pa.int32()), one, one, one, pa.array([False] * n), one, pa.array(["u"] * n), pa.array(htmls)], names=[*H.CARRIED[1:], "html"])
+    out = pa.Table.from_batches(H._parse(iter([batch]))).combine_chunks()
+    moved = sum(out.column(c).nbytes for c in out.schema.names if c not in H.CARRIED)
+    assert moved < 0.75 * sum(len(t.encode()) for t in stories)
+    assert H._unpacked(out.column("size"), out.column("packed")).to_pylist() == stories
