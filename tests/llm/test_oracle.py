@@ -7,7 +7,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_queries_match_their_sql(spark):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings", "labels"):
+    for t in ("documents", "pages", "embeddings", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     for name, sql in ORACLE_SQL.items():
         df, rel = QUERIES[name](spark, SF), con.sql(sql)
